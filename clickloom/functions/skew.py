@@ -1,0 +1,24 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def salted_lookup(
+    big: DataFrame, lookup: DataFrame, keys: Sequence[str], spread: Sequence[str], salts: int,
+    how: str = "left",
+) -> DataFrame:
+    """Join `big` to `lookup`, which has at most one row per key.
+
+    A hash of the `spread` columns deals the rows of one key over `salts` join keys; each
+    lookup row is copied once per salt. The hash depends on row values only, so a task that
+    is run again deals its rows the same way.
+    """
+    if salts <= 1:
+        return big.join(lookup, list(keys), how)
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = lookup.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
