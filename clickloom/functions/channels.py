@@ -13,112 +13,89 @@ from clickloom.functions.urls import authority, has_param, query_param, query_st
 
 TRAFFIC_COLUMNS = ("traffic_source", "traffic_medium", "traffic_campaign", "marketing_channel")
 
-# Media and sources the channel rules look for.
-PAID_MEDIA = ("cpc", "ppc", "paid")
-PAID_SOCIAL_MEDIA = ("cpc", "paid")
-SOCIAL_SOURCES = ("facebook", "instagram")
-EMAIL_SOURCES = ("email", "klaviyo")
-SEARCH_SOURCES = ("google", "bing")
-
-
-def marketing_channel(source: Column, medium: Column, cfg: Config) -> Column:
-    """Channel from source and medium, case-insensitive, first rule wins."""
-    src, med = F.lower(F.coalesce(source, F.lit(""))), F.lower(F.coalesce(medium, F.lit("")))
-    paid = (med.isin(*PAID_MEDIA), "Paid Search")
-    social = (src.isin(*SOCIAL_SOURCES) & med.isin(*PAID_SOCIAL_MEDIA), "Paid Social")
-    rules = [
-        *((social, paid) if cfg.paid_social_first else (paid, social)),
-        (src.isin(*EMAIL_SOURCES) | (med == "email"), "Email"),
-        (src.isin(*SEARCH_SOURCES) & (med == "organic"), "Organic Search"),
-        ((src == "affiliate") | (med == "affiliate"), "Affiliate"),
-        (med == "referral", "Referral"),
-        (src == "direct", "Direct"),
-        (src == "internal", "Internal"),
-    ]
-    return _first_match(rules, F.lit("Other"))
-
-
-def with_traffic_source(events: DataFrame, cfg: Config) -> DataFrame:
-    """Add the four `TRAFFIC_COLUMNS` derived from `page_url` and `referrer`."""
-    staged = events.withColumns(
-        {"_query": query_string(F.col("page_url")), "_host": authority(F.col("referrer"))}
+# The rules of the two classifiers. The first rule that holds wins.
+_TOUCH = """
+CASE WHEN _gclid THEN named_struct('source', 'google', 'medium', 'cpc', 'campaign', coalesce(_campaign, 'google_ads'))
+     WHEN _source IS NOT NULL THEN named_struct('source', _source, 'medium', _medium, 'campaign', coalesce(_campaign, ''))
+     WHEN _fbclid THEN named_struct('source', 'facebook', 'medium', 'cpc', 'campaign', 'facebook_ads')
+     WHEN contains(_host, 'google') THEN named_struct('source', 'google', 'medium', 'organic', 'campaign', '')
+     WHEN contains(_host, 'bing') THEN named_struct('source', 'bing', 'medium', 'organic', 'campaign', '')
+     WHEN contains(_host, 'facebook') THEN named_struct('source', 'facebook', 'medium', 'social', 'campaign', '')
+     WHEN contains(_host, '{own}') THEN named_struct('source', 'internal', 'medium', 'internal', 'campaign', '')
+     WHEN contains(_host, 'source-') THEN named_struct('source', 'affiliate', 'medium', 'referral', 'campaign', '')
+     WHEN _host <> '' THEN named_struct('source', _host, 'medium', 'referral', 'campaign', '')
+     ELSE named_struct('source', 'direct', 'medium', 'none', 'campaign', '') END"""
+
+_PAID = "WHEN {medium} IN ('cpc', 'ppc', 'paid') THEN 'Paid Search'"
+_SOCIAL = "WHEN {source} IN ('facebook', 'instagram') AND {medium} IN ('cpc', 'paid') THEN 'Paid Social'"
+_CHANNEL = """
+CASE {first} {second}
+     WHEN {source} IN ('email', 'klaviyo') OR {medium} = 'email' THEN 'Email'
+     WHEN {source} IN ('google', 'bing') AND {medium} = 'organic' THEN 'Organic Search'
+     WHEN {source} = 'affiliate' OR {medium} = 'affiliate' THEN 'Affiliate'
+     WHEN {medium} = 'referral' THEN 'Referral'
+     WHEN {source} = 'direct' THEN 'Direct'
+     WHEN {source} = 'internal' THEN 'Internal'
+     ELSE 'Other' END"""
+
+_MONITOR = """
+CASE WHEN _gclid THEN 'Paid Search'
+     WHEN _fbclid THEN 'Paid Social'
+     WHEN _source IS NOT NULL THEN
+       CASE WHEN lower(_medium) IN ('cpc', 'ppc', 'paid') THEN 'Paid Search'
+            WHEN lower(_source) IN ('email', 'klaviyo') OR lower(_medium) = 'email' THEN 'Email'
+            WHEN lower(_medium) = 'affiliate' THEN 'Affiliate'
+            ELSE 'Other' END
+     WHEN contains(_host, 'google') OR contains(_host, 'bing') THEN 'Organic Search'
+     WHEN contains(_host, 'facebook') OR contains(_host, 'instagram') THEN 'Organic Social'
+     WHEN contains(_host, 'source-') THEN 'Affiliate'
+     WHEN _host <> '' AND NOT contains(_host, '{own}') THEN 'Referral'
+     ELSE 'Direct' END"""
+
+_HELPERS = ("_query", "_host", "_gclid", "_fbclid", "_source", "_medium", "_campaign")
+
+
+def marketing_channel(source: str, medium: str, cfg: Config) -> Column:
+    """Channel from two column names, case-insensitive."""
+    words = {"source": f"lower({source})", "medium": f"lower({medium})"}
+    paid, social = _PAID.format(**words), _SOCIAL.format(**words)
+    first, second = (social, paid) if cfg.paid_social_first else (paid, social)
+    return F.expr(_CHANNEL.format(first=first, second=second, **words))
+
+
+def _with_parts(events: DataFrame) -> DataFrame:
+    """Add what both classifiers read from the URL and the referrer."""
+    query = F.col("_query")
+    return events.withColumns(
+        {
+            "_query": F.coalesce(query_string(F.col("page_url")), F.lit("")),
+            "_host": F.coalesce(authority(F.col("referrer")), F.lit("")),
+        }
     ).withColumns(
         {
-            "_utm_source": query_param(F.col("_query"), "utm_source"),
-            "_utm_medium": query_param(F.col("_query"), "utm_medium"),
-            "_utm_campaign": query_param(F.col("_query"), "utm_campaign"),
+            "_gclid": has_param(query, "gclid"),
+            "_fbclid": has_param(query, "fbclid"),
+            "_source": query_param(query, "utm_source"),
+            "_medium": F.coalesce(query_param(query, "utm_medium"), F.lit("")),
+            "_campaign": query_param(query, "utm_campaign"),
         }
     )
-    query, host = F.col("_query"), F.coalesce(F.col("_host"), F.lit(""))
-    utm_source, utm_campaign = F.col("_utm_source"), F.col("_utm_campaign")
-    utm_medium = F.coalesce(F.col("_utm_medium"), F.lit(""))
-    rules = [
-        (has_param(query, "gclid"),
-         _touch("google", "cpc", F.coalesce(utm_campaign, F.lit("google_ads")))),
-        (utm_source.isNotNull(),
-         _touch(utm_source, utm_medium, F.coalesce(utm_campaign, F.lit("")))),
-        (has_param(query, "fbclid"), _touch("facebook", "cpc", "facebook_ads")),
-        (host.contains("google"), _touch("google", "organic")),
-        (host.contains("bing"), _touch("bing", "organic")),
-        (host.contains("facebook"), _touch("facebook", "social")),
-        (host.contains(cfg.own_domain), _touch("internal", "internal")),
-        (host.contains("source-"), _touch("affiliate", "referral")),
-        (host != "", _touch(host, "referral")),
-    ]
-    staged = staged.withColumn("_touch", _first_match(rules, _touch("direct", "none")))
-    touch = F.col("_touch")
+
+
+def with_traffic_source(events: DataFrame, cfg: Config) -> DataFrame:
+    """Add the four `TRAFFIC_COLUMNS` derived from `page_url` and `referrer`."""
+    staged = _with_parts(events).withColumn("_touch", F.expr(_TOUCH.format(own=cfg.own_domain)))
     return staged.withColumns(
         {
-            "traffic_source": touch["source"],
-            "traffic_medium": F.when(touch["medium"] == "", "none").otherwise(touch["medium"]),
-            "traffic_campaign": touch["campaign"],
-            "marketing_channel": marketing_channel(touch["source"], touch["medium"], cfg),
+            "traffic_source": F.col("_touch.source"),
+            "traffic_medium": F.expr("if(_touch.medium = '', 'none', _touch.medium)"),
+            "traffic_campaign": F.col("_touch.campaign"),
+            "marketing_channel": marketing_channel("_touch.source", "_touch.medium", cfg),
         }
-    ).drop("_query", "_host", "_utm_source", "_utm_medium", "_utm_campaign", "_touch")
+    ).drop(*_HELPERS, "_touch")
 
 
 def with_monitor_channel(events: DataFrame, cfg: Config) -> DataFrame:
     """Add `monitor_channel`, the classification used by the daily alerts."""
-    staged = events.withColumns(
-        {"_query": query_string(F.col("page_url")), "_host": authority(F.col("referrer"))}
-    ).withColumns(
-        {
-            "_source": F.lower(query_param(F.col("_query"), "utm_source")),
-            "_medium": F.lower(query_param(F.col("_query"), "utm_medium")),
-        }
-    )
-    query, host = F.col("_query"), F.coalesce(F.col("_host"), F.lit(""))
-    source, medium = F.col("_source"), F.coalesce(F.col("_medium"), F.lit(""))
-    tagged = source.isNotNull()
-    rules = [
-        (has_param(query, "gclid"), "Paid Search"),
-        (has_param(query, "fbclid"), "Paid Social"),
-        (tagged & medium.isin(*PAID_MEDIA), "Paid Search"),
-        (tagged & (source.isin(*EMAIL_SOURCES) | (medium == "email")), "Email"),
-        (tagged & (medium == "affiliate"), "Affiliate"),
-        (tagged, "Other"),
-        (host.contains("google") | host.contains("bing"), "Organic Search"),
-        (host.contains("facebook") | host.contains("instagram"), "Organic Social"),
-        (host.contains("source-"), "Affiliate"),
-        ((host != "") & ~host.contains(cfg.own_domain), "Referral"),
-    ]
-    return staged.withColumn("monitor_channel", _first_match(rules, F.lit("Direct"))).drop(
-        "_query", "_host", "_source", "_medium"
-    )
-
-
-def _touch(source: Column | str, medium: Column | str, campaign: Column | str = "") -> Column:
-    def text(value: Column | str) -> Column:
-        return F.lit(value) if isinstance(value, str) else value
-
-    return F.struct(
-        text(source).alias("source"), text(medium).alias("medium"), text(campaign).alias("campaign")
-    )
-
-
-def _first_match(rules: list[tuple[Column, Column | str]], default: Column) -> Column:
-    (test, value), *rest = rules
-    chain = F.when(test, value)
-    for test, value in rest:
-        chain = chain.when(test, value)
-    return chain.otherwise(default)
+    channel = F.expr(_MONITOR.format(own=cfg.own_domain))
+    return _with_parts(events).withColumn("monitor_channel", channel).drop(*_HELPERS)

@@ -17,6 +17,43 @@ _NUMBER = r"^\s*[+-]?(\d+(_\d+)*(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\
 _SPECIAL = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
 
 
+_PARTS = {
+    "_id_type": "schema_of_variant(_json.transaction_id)",
+    "_id_text": "try_variant_get(_json.transaction_id, '$', 'string')",
+    "_revenue_type": "schema_of_variant(_json.revenue)",
+    "_revenue_text": "try_variant_get(_json.revenue, '$', 'string')",
+    "_items_type": "schema_of_variant(_json.items)",
+    "_items": "try_variant_get(_json.items, '$', 'array<variant>')",
+    "_email_type": "schema_of_variant(_json.user_email)",
+}
+_PAYLOAD = """
+named_struct(
+  'is_object', _object IS NOT NULL,
+  'transaction_id', _id_text,
+  'has_transaction', coalesce(CASE _id_type WHEN 'STRING' THEN _id_text <> ''
+      ELSE _id_text NOT IN ('0', '0.0', 'false', '[]', '{}') END, false),
+  'revenue_given', coalesce(_revenue_type <> 'VOID', false),
+  'revenue', CASE WHEN _object IS NULL THEN NULL
+      WHEN _revenue_type IS NULL THEN 0D
+      WHEN _revenue_type = 'STRING' THEN _revenue_number
+      WHEN _revenue_type = 'BOOLEAN' THEN if(_revenue_text = 'true', 1D, 0D)
+      ELSE try_cast(_revenue_text AS DOUBLE) END,
+  'revenue_text', _revenue_text,
+  'item_count', CASE WHEN _object IS NULL THEN NULL
+      WHEN _items_type IS NULL THEN 0
+      WHEN _items IS NOT NULL THEN size(_items)
+      WHEN _items_type = 'STRING' THEN length(try_variant_get(_json.items, '$', 'string'))
+      WHEN startswith(_items_type, 'OBJECT')
+        THEN size(try_variant_get(_json.items, '$', 'map<string,variant>')) END,
+  'null_item_prices', coalesce(array_size(filter(_items, item ->
+      startswith(schema_of_variant(item), 'OBJECT')
+      AND (try_variant_get(item, '$.item_price', 'variant') IS NULL
+           OR is_variant_null(try_variant_get(item, '$.item_price', 'variant'))))), 0),
+  'user_email', CASE WHEN _object IS NULL THEN NULL
+      WHEN _email_type IS NULL THEN ''
+      WHEN _email_type = 'STRING' THEN try_variant_get(_json.user_email, '$', 'string') END)"""
+
+
 def is_json(text: Column) -> Column:
     """Whether `text` is exactly one JSON value; null stays null.
 
@@ -55,73 +92,17 @@ def with_payload(events: DataFrame, cfg: Config) -> DataFrame:
     null_item_prices   items that are objects without a price
     user_email         '' when the key is absent, null when it is no string
     """
-    source = F.when(F.col("event_name").isin(*cfg.purchase_events), F.col("event_data"))
-    staged = events.withColumn("_text", source).withColumn(
-        "_is_object", is_json(F.col("_text")) & F.col("_text").rlike(r"^\s*\{")
-    )
-    staged = staged.withColumn(
-        "_fields", F.from_json(F.when(F.col("_is_object"), F.col("_text")), _FIELDS, _STRICT)
-    )
-    staged = staged.withColumns(
-        {
-            "_revenue_type": F.schema_of_variant(F.col("_fields.revenue")),
-            "_revenue_text": _text("_fields.revenue"),
-            "_items_type": F.schema_of_variant(F.col("_fields.items")),
-            "_items": F.try_variant_get("_fields.items", "$", "array<variant>"),
-            "_email_type": F.schema_of_variant(F.col("_fields.user_email")),
-            "_id_type": F.schema_of_variant(F.col("_fields.transaction_id")),
-            "_id": _text("_fields.transaction_id"),
-        }
-    )
-    r_type, r_text = F.col("_revenue_type"), F.col("_revenue_text")
-    revenue = (
-        F.when(r_type.isNull(), 0.0)
-        .when(r_type == "STRING", to_number(r_text))
-        .when(r_type == "BOOLEAN", F.when(r_text == "true", 1.0).otherwise(0.0))
-        .otherwise(r_text.try_cast("double"))
-    )
-    i_type = F.col("_items_type")
-    item_count = (
-        F.when(i_type.isNull(), 0)
-        .when(F.col("_items").isNotNull(), F.size("_items"))
-        .when(i_type == "STRING", F.length(_text("_fields.items")))
-        .when(
-            i_type.startswith("OBJECT"),
-            F.size(F.try_variant_get("_fields.items", "$", "map<string,variant>")),
-        )
+    purchase = F.col("event_name").isin(*cfg.purchase_events)
+    text = F.col("_text")
+    staged = events.withColumn("_text", F.when(purchase, F.col("event_data"))).withColumn(
+        "_object", F.when(is_json(text) & text.rlike(r"^\s*\{"), text)
     )
-    unpriced = F.filter(
-        "_items",
-        lambda item: F.schema_of_variant(item).startswith("OBJECT")
-        & F.coalesce(
-            F.is_variant_null(F.try_variant_get(item, "$.item_price", "variant")), F.lit(True)
-        ),
+    staged = staged.withColumn("_json", F.from_json("_object", _FIELDS, _STRICT)).withColumns(
+        {name: F.expr(sql) for name, sql in _PARTS.items()}
     )
-    email = F.when(F.col("_email_type").isNull(), "").when(
-        F.col("_email_type") == "STRING", _text("_fields.user_email")
-    )
-    id_type, id_text = F.col("_id_type"), F.col("_id")
-    empty_id = F.when(id_type == "STRING", id_text == "").otherwise(
-        (id_text.try_cast("double") == 0) | id_text.isin("false", "[]", "{}")
-    )
-    payload = F.struct(
-        F.coalesce(F.col("_is_object"), F.lit(False)).alias("is_object"),
-        id_text.alias("transaction_id"),
-        F.coalesce(id_text.isNotNull() & ~F.coalesce(empty_id, F.lit(False)), F.lit(False)).alias(
-            "has_transaction"
-        ),
-        F.coalesce(r_type != "VOID", F.lit(False)).alias("revenue_given"),
-        F.when(F.col("_is_object"), revenue).alias("revenue"),
-        r_text.alias("revenue_text"),
-        F.when(F.col("_is_object"), item_count).alias("item_count"),
-        F.coalesce(F.greatest(F.size(unpriced), F.lit(0)), F.lit(0)).alias("null_item_prices"),
-        F.when(F.col("_is_object"), email).alias("user_email"),
-    )
-    return staged.withColumn(
-        "payload", F.when(F.col("event_name").isin(*cfg.purchase_events), payload)
-    ).drop(
-        "_text", "_is_object", "_fields", "_revenue_type", "_revenue_text", "_items_type",
-        "_items", "_email_type", "_id_type", "_id",
+    staged = staged.withColumn("_revenue_number", to_number(F.col("_revenue_text")))
+    return staged.withColumn("payload", F.when(purchase, F.expr(_PAYLOAD))).drop(
+        "_text", "_object", "_json", *_PARTS, "_revenue_number"
     )
 
 
@@ -130,7 +111,3 @@ def email_output(email: Column, cfg: Config) -> Column:
     if cfg.email_output == "prefix":
         return F.left(email, F.lit(16))
     return F.when(email == "", "").otherwise(F.left(F.sha2(email, 256), F.lit(16)))
-
-
-def _text(column: str) -> Column:
-    return F.try_variant_get(column, "$", "string")

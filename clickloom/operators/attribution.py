@@ -126,6 +126,6 @@ def linear_attribution(conversions: DataFrame, sessions: DataFrame, cfg: Config)
         (F.col("revenue") / shares).alias("share"),
     ).filter(F.col("date").isNotNull())
     return weighted.groupBy("date", "channel").agg(
-        F.round(exact_sum(F.col("weight")), 4).alias("conversions"),
-        F.round(exact_sum(F.col("share")), 4).alias("revenue"),
+        exact_sum(F.col("weight")).alias("conversions"),
+        exact_sum(F.col("share")).alias("revenue"),
     )

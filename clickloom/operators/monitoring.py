@@ -116,8 +116,11 @@ def day_profile(events: DataFrame, cfg: Config, headers: DataFrame | None = None
 
     Without `headers` every expected column counts as present.
     """
-    rows = events.groupBy("source_file").agg(
+    bought = F.col("event_name") == cfg.conversion_event
+    rows = with_payload(events, cfg).groupBy("source_file").agg(
         F.count("*").alias("events"),
+        count_if(bought).alias("purchase_rows"),
+        exact_sum(F.when(bought, F.col("payload.revenue"))).alias("purchase_revenue"),
         count_if(is_blank(F.col("client_id"))).alias("null_clients"),
         (F.max(flag(~is_blank(F.col("referrer")))) == 1).alias("has_referrer_data"),
     )
@@ -240,14 +243,26 @@ def metric_zscores(days: DataFrame, baseline: DataFrame, cfg: Config) -> DataFra
     )
 
 
-def with_baseline(days: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Add mean and deviation of revenue and order value; null without a baseline."""
-    def stat(metric: str, name: str) -> Column:
-        return baseline.filter(F.col("metric") == metric).agg(F.max(name)).scalar()
+def with_baseline(days: DataFrame, cfg: Config) -> DataFrame:
+    """Add mean and deviation of revenue and order value over the first days.
 
-    return days.withColumns(
-        {f"{m}_{s}": stat(m, s) for m in ("revenue", "aov") for s in ("mean", "std")}
-    )
+    Null for all days when the history is shorter than the baseline. The windows run over
+    the day profiles, one row per day.
+    """
+    ranked = days.withColumn("_day", F.row_number().over(Window.orderBy("source_file")))
+    chosen = F.col("_day") <= cfg.monitor.baseline_days
+    history = {
+        "revenue": F.col("purchase_revenue"),
+        "aov": ratio(F.col("purchase_revenue"), F.col("purchase_rows")),
+    }
+    every = Window.partitionBy()
+    enough = F.max("_day").over(every) >= cfg.monitor.baseline_days
+    stats = {
+        f"{name}_{stat}": F.when(enough, fn(F.when(chosen, value)).over(every))
+        for name, value in history.items()
+        for stat, fn in (("mean", F.avg), ("std", F.stddev_samp))
+    }
+    return ranked.withColumns(stats).drop("_day")
 
 
 # --- alerts ---------------------------------------------------------------------------

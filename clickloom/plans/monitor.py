@@ -12,8 +12,7 @@ from clickloom.operators.cleaning import normalise_schema
 def monitored_days(raw: DataFrame, cfg: Config, headers: DataFrame | None = None) -> DataFrame:
     """Day profiles with the baseline of the first days."""
     events = normalise_schema(raw, cfg)
-    baseline = m.baseline_stats(m.history_metrics(events, cfg), cfg)
-    return m.with_baseline(m.day_profile(events, cfg, headers), baseline)
+    return m.with_baseline(m.day_profile(events, cfg, headers), cfg)
 
 
 def run_monitoring(raw: DataFrame, cfg: Config, headers: DataFrame | None = None) -> dict[str, DataFrame]:

@@ -268,7 +268,7 @@ def attribution(spark: SparkSession, folder: str) -> DataFrame:
 def linear_attribution(spark: SparkSession, folder: str) -> DataFrame:
     d = _derived(spark, folder)
     rows = at.linear_attribution(d.purchases, d.sessions, CFG)
-    return _rounded(_show_times(rows), "conversions", "revenue", digits=2)
+    return _rounded(_show_times(rows), "conversions", "revenue", digits=4)
 
 
 @query
@@ -321,7 +321,8 @@ def cross_file_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def duplicate_occurrences(spark: SparkSession, folder: str) -> DataFrame:
-    return qu.duplicate_occurrences(_raw(spark, folder), CFG)
+    rows = qu.duplicate_occurrences(_raw(spark, folder), CFG)
+    return rows.withColumn("revenue", F.col("revenue").try_cast("double"))
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,40 +28,40 @@ class Derived:
     raw: DataFrame
     cfg: Config
 
-    @property
+    @cached_property
     def events(self) -> DataFrame:
         return with_traffic_source(clean_events(self.raw, self.cfg), self.cfg)
 
-    @property
+    @cached_property
     def chunks(self) -> DataFrame:
         return se.number_chunks(se.summarise_chunks(self.events, self.cfg), self.cfg)
 
-    @property
+    @cached_property
     def events_enriched(self) -> DataFrame:
         return se.assign_sessions(self.events, self.chunks, self.cfg)
 
-    @property
+    @cached_property
     def sessions(self) -> DataFrame:
         return se.sessions_from_chunks(self.chunks)
 
-    @property
+    @cached_property
     def purchases(self) -> DataFrame:
         """Deduplicated conversions without their session, for uses that need none."""
         return first_purchases(self.events, self.cfg)
 
-    @property
+    @cached_property
     def conversions(self) -> DataFrame:
         return conversions(self.events, self.chunks, self.cfg)
 
-    @property
+    @cached_property
     def attribution(self) -> DataFrame:
         return at.attribution(self.purchases, self.sessions, self.cfg)
 
-    @property
+    @cached_property
     def channel_summary(self) -> DataFrame:
         return at.channel_summary(self.attribution)
 
-    @property
+    @cached_property
     def user_journeys(self) -> DataFrame:
         return user_journeys(self.sessions, self.purchases, self.cfg)
 

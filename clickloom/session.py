@@ -7,14 +7,23 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
+# Settings a running session accepts.
+RUNTIME_SETTINGS = {
     # Timestamps are compared and printed in UTC everywhere.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even when that costs one more exchange behind it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Generated methods above this size are never compiled by the JVM, so stages with long
+    # CASE chains run faster when their expressions are generated apart.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+SETTINGS = {
+    **RUNTIME_SETTINGS,
     "spark.ui.enabled": "false",
+    # Do not record the Python call site of every column; plans here have hundreds of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Plain SQL over `event_id`, `user_id`, `event_type`, `value`, `props`. {iso}, {plain} and {day}
 # stand for the time as ISO text, as text without zone, and for the day of the month.
 CLIENT_ID = """
-CASE WHEN event_id % 17 = 0 THEN NULL
+CASE WHEN event_id % 37 = 0 THEN NULL
      WHEN event_id % 53 = 0 THEN ''
-     WHEN {day} BETWEEN 20 AND 22 AND event_id % 6 = 0 THEN NULL
+     WHEN {day} BETWEEN 20 AND 22 AND event_id % 4 = 0 THEN NULL
      ELSE 'c' || CAST(user_id AS {text}) END"""
 
 PAGE_URL = """
@@ -52,8 +52,9 @@ CASE WHEN event_id % 997 = 0 THEN 'not-a-time'
      ELSE {iso} END"""
 
 EVENT_NAME = """
-CASE WHEN event_id % 301 = 0 THEN 'bogus'
-     WHEN event_id % 401 = 0 THEN NULL
+CASE WHEN {day} >= 18 AND event_id % 301 = 0 THEN 'bogus'
+     WHEN {day} >= 18 AND event_id % 401 = 0 THEN NULL
+     WHEN {day} = 24 AND event_id % 5 <> 0 THEN 'page_viewed'
      WHEN event_type = 'view' THEN 'page_viewed'
      WHEN event_type = 'click' THEN 'product_added_to_cart'
      WHEN event_type = 'signup' THEN 'email_filled_on_popup'
@@ -62,7 +63,7 @@ CASE WHEN event_id % 301 = 0 THEN 'bogus'
      ELSE 'checkout_completed' END"""
 
 TRANSACTION_ID = """
-'T' || CAST(CASE WHEN event_id % 20 < 8 THEN event_id - event_id % 40
+'T' || CAST(CASE WHEN {day} % 2 = 0 AND event_id % 20 < 8 THEN event_id - event_id % 40
                  WHEN event_id % 20 = 9 THEN event_id % 2000
                  ELSE event_id END AS {text})"""
 
@@ -93,7 +94,7 @@ CASE WHEN event_type <> 'purchase' THEN
        ELSE '"user_email": "buyer' || CAST(user_id AS {text}) || '@mail.example"' END || '}}' END"""
 
 USER_AGENT = """
-CASE event_id % 13
+CASE WHEN {day} = 17 THEN NULL ELSE CASE event_id % 13
  WHEN 0 THEN 'Mozilla/5.0 (iPad; CPU OS 16_0) Version/16.0 Safari/604.1'
  WHEN 1 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 16_0) Mobile Safari/604.1'
  WHEN 2 THEN 'Mozilla/5.0 (Linux; Android 13) Chrome/120.0 Mobile Safari/537.36'
@@ -104,7 +105,7 @@ CASE event_id % 13
  WHEN 7 THEN ''
  WHEN 8 THEN 'curl/8.0'
  WHEN 9 THEN 'Mozilla/5.0 (Macintosh) Version/16.0 Safari/605.1'
- ELSE 'Mozilla/5.0 (Windows NT 10.0) Chrome/120.0 Safari/537.36' END"""
+ ELSE 'Mozilla/5.0 (Windows NT 10.0) Chrome/120.0 Safari/537.36' END END"""
 
 # The file of a row: its day, now and then the day before.
 FILE_DAY = "CASE WHEN event_id % 211 = 0 THEN {day_before} ELSE {day_text} END"
@@ -112,6 +113,7 @@ FILE_DAY = "CASE WHEN event_id % 211 = 0 THEN {day_before} ELSE {day_text} END"
 # Header of a file by day of the month in its name.
 HEADER = """
 CASE WHEN {file_day} >= 26 THEN 'clientId,page_url,timestamp,event_name,event_data,user_agent'
+     WHEN {file_day} = 17 THEN 'clientId,page_url,referrer,timestamp,event_name,event_data'
      WHEN {file_day} = 15 THEN 'clientId,page_url,referrer,timestamp,event_name,event_data,user_agent,debug'
      WHEN {file_day} >= 10 THEN 'clientId,page_url,referrer,timestamp,event_name,event_data,user_agent'
      ELSE 'client_id,page_url,referrer,timestamp,event_name,event_data,user_agent' END"""
