@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.config import Config
@@ -14,6 +16,9 @@ CONVERSION_COLUMNS = (
     "item_count", "user_email_hash", *TRAFFIC_COLUMNS, "page_url",
 )
 
+# What attribution, journeys and totals need of a purchase.
+SLIM_COLUMNS = ("client_id", "event_timestamp", "event_date", "revenue", "ingest_order")
+
 
 def purchase_record(cfg: Config) -> dict[str, Column]:
     """The four payload columns of a conversion. Any fault empties the whole record."""
@@ -43,21 +48,22 @@ def purchases(events: DataFrame, cfg: Config) -> DataFrame:
     return selected.withColumns(purchase_record(cfg)).drop("payload")
 
 
-def first_purchases(events: DataFrame, cfg: Config) -> DataFrame:
+def first_purchases(
+    events: DataFrame, cfg: Config, columns: Collection[str] = SLIM_COLUMNS
+) -> DataFrame:
     """The first purchase of each transaction id; purchases without id count as one group.
 
-    An aggregate rather than a window: a frequent id is reduced before the shuffle.
+    An aggregate rather than a window: a frequent id is reduced before the shuffle. Only
+    `columns` travel with it.
     """
-    kept = [c for c in purchases(events, cfg).columns if c != "transaction_id"]
     time = (F.col("event_timestamp").isNull(), F.col("event_timestamp"))
     client = (F.col("client_id"),)
     order = (*client, *time) if cfg.dedupe_order == "client" else (*time, *client)
     fields = [c.alias(f"o{i}") for i, c in enumerate((*order, F.col("ingest_order")))]
-    first = F.min_by(F.struct(*kept), F.struct(*fields))
     return (
         purchases(events, cfg)
         .groupBy("transaction_id")
-        .agg(first.alias("first"))
+        .agg(F.min_by(F.struct(*columns), F.struct(*fields)).alias("first"))
         .select("transaction_id", "first.*")
         .withColumnRenamed("event_timestamp", "conversion_timestamp")
     )
@@ -65,7 +71,10 @@ def first_purchases(events: DataFrame, cfg: Config) -> DataFrame:
 
 def conversions(events: DataFrame, numbered_chunks: DataFrame, cfg: Config) -> DataFrame:
     """The conversions table. Sessions are looked up after the duplicates are gone."""
-    first = first_purchases(events, cfg).withColumnRenamed("conversion_timestamp", "event_timestamp")
+    columns = (*SLIM_COLUMNS, "item_count", "user_email_hash", *TRAFFIC_COLUMNS, "page_url")
+    first = first_purchases(events, cfg, columns).withColumnRenamed(
+        "conversion_timestamp", "event_timestamp"
+    )
     placed = assign_sessions(first, numbered_chunks, cfg)
     return placed.withColumnRenamed("event_timestamp", "conversion_timestamp").select(
         *CONVERSION_COLUMNS, "ingest_order"
