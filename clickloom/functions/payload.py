@@ -101,9 +101,10 @@ def with_payload(events: DataFrame, cfg: Config) -> DataFrame:
         {name: F.expr(sql) for name, sql in _PARTS.items()}
     )
     staged = staged.withColumn("_revenue_number", to_number(F.col("_revenue_text")))
-    return staged.withColumn("payload", F.when(purchase, F.expr(_PAYLOAD))).drop(
-        "_text", "_object", "_json", *_PARTS, "_revenue_number"
-    )
+    # Exploding one element keeps a row a row, but stops filters on the payload from being
+    # pushed below it, where the parsing would be repeated for every use of a field.
+    one = F.array(F.when(purchase, F.expr(_PAYLOAD)))
+    return staged.select(*events.columns, F.explode(one).alias("payload"))
 
 
 def email_output(email: Column, cfg: Config) -> Column:
