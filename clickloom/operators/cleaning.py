@@ -40,9 +40,10 @@ def parse_event_time(events: DataFrame, cfg: Config) -> tuple[DataFrame, DataFra
 
     Rows without any timestamp text stay, with null time.
     """
-    parsed = events.withColumn("event_timestamp", event_time(F.col("timestamp"))).withColumn(
-        "event_date", F.to_date("event_timestamp")
-    )
+    # As with payloads, exploding one element keeps the filters below from parsing again.
+    parsed = events.withColumn(
+        "event_timestamp", F.explode(F.array(event_time(F.col("timestamp"))))
+    ).withColumn("event_date", F.to_date("event_timestamp"))
     unreadable = F.col("timestamp").isNotNull() & F.col("event_timestamp").isNull()
     return parsed.filter(~unreadable), parsed.filter(unreadable)
 
