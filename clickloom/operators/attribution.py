@@ -44,9 +44,12 @@ def lookback_touchpoints(conversions: DataFrame, sessions: DataFrame, cfg: Confi
     located = conversions.withColumns(
         {"bucket": floor_div(at, cfg.lookback_us), "_at": at}
     )
+    # Few clients convert; the sessions of all others end here, before they are packed. Both
+    # sides of this join are partitioned by client already or small.
+    buyers = conversions.select("client_id").distinct()
+    windows = touch_windows(sessions.join(buyers, "client_id", "left_semi"), cfg)
     found = salted_lookup(
-        located, touch_windows(sessions, cfg), ("client_id", "bucket"), ("ingest_order",),
-        cfg.join_salts,
+        located, windows, ("client_id", "bucket"), ("ingest_order",), cfg.join_salts
     )
     in_window = F.filter(
         F.col("touches"),

@@ -399,7 +399,8 @@ def null_rate_vs_history(daily: DataFrame, cfg: Config) -> DataFrame:
 
 def quarantine_split(events: DataFrame, verdicts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events of files that passed, and events of files that did not."""
-    failed = verdicts.filter(~F.col("passed")).select("source_file")
+    # One row per daily file at most, so the large side never moves.
+    failed = F.broadcast(verdicts.filter(~F.col("passed")).select("source_file"))
     return (
         events.join(failed, "source_file", "left_anti"),
         events.join(failed, "source_file", "left_semi"),

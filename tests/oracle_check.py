@@ -27,10 +27,18 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 def _plain(value):
     if isinstance(value, bool) or value is None:
         return value
-    if isinstance(value, (int, float, Decimal)):
+    if isinstance(value, (float, Decimal)):
         number = float(value)
-        return "nan" if math.isnan(number) else round(number, 9) + 0.0
-    return str(value)
+        return "nan" if math.isnan(number) else number + 0.0
+    return value if isinstance(value, int) else str(value)
+
+
+def _family(name: str) -> str:
+    name = name.upper()
+    for family, words in {"int": ("INT", "LONG"), "float": ("DOUBLE", "FLOAT"), "text": ("STRING", "VARCHAR")}.items():
+        if any(w in name for w in words) and "HUGE" not in name:
+            return family
+    return name
 
 
 def canonical(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
@@ -46,12 +54,16 @@ def differences(frame, con: duckdb.DuckDBPyConnection, sql: str) -> str:
     names, rows = canonical([d[0] for d in result.description], result.fetchall())
     if spark_names != names:
         return f"columns {spark_names} != {names}"
-    if spark_rows == rows:
+    ours = {f.name: _family(f.dataType.simpleString()) for f in frame.schema.fields}
+    theirs = {d[0]: _family(str(d[1])) for d in result.description}
+    if ours != theirs:
+        return f"types {sorted(set(ours.items()) ^ set(theirs.items()))}"
+    if repr(spark_rows) == repr(rows):
         return ""
-    ours, theirs = set(spark_rows), set(rows)
+    ours, theirs = set(map(repr, spark_rows)), set(map(repr, rows))
     return (
-        f"{len(spark_rows)} rows, expected {len(rows)}; only ours {sorted(ours - theirs, key=repr)[:2]}; "
-        f"only theirs {sorted(theirs - ours, key=repr)[:2]}"
+        f"{len(spark_rows)} rows, expected {len(rows)}; only ours {sorted(ours - theirs)[:2]}; "
+        f"only theirs {sorted(theirs - ours)[:2]}"
     )
 
 
