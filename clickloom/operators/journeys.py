@@ -27,36 +27,33 @@ def journey_sessions(sessions: DataFrame, conversions: DataFrame) -> DataFrame:
 def user_journeys(sessions: DataFrame, conversions: DataFrame, cfg: Config) -> DataFrame:
     """One row per converting client.
 
-    The totals are plain aggregates. The path ranks sessions from the latest back and keeps
-    a handful per client, which Spark already limits before the shuffle.
+    Sessions come partitioned by client, so ranking them and adding them up needs no further
+    exchange. A client has at most (observed time / gap) sessions; only the handful that make
+    up its path are collected.
     """
-    first = first_conversions(conversions)
-    own = sessions.join(first, "client_id")
-    totals = own.groupBy("client_id").agg(
-        F.count("*").alias("total_sessions"),
-        F.coalesce(F.sum("event_count"), F.lit(0)).alias("total_pageviews"),
-        F.min("session_start").alias("first_visit"),
-        F.size(F.collect_set("marketing_channel")).cast("long").alias("channels_touched"),
-        F.size(F.collect_set("device_type")).cast("long").alias("devices_used"),
-        F.first("conversion_timestamp").alias("conversion_timestamp"),
-        F.first("revenue").alias("revenue"),
-    )
     latest = Window.partitionBy("client_id").orderBy(F.col("session_number").desc())
     step = F.struct("session_number", F.col("marketing_channel").alias("channel"))
-    paths = (
-        journey_sessions(sessions, first)
-        .withColumn("back", F.row_number().over(latest))
-        .filter(F.col("back") <= cfg.path_length)
+    own = sessions.join(first_conversions(conversions), "client_id")
+    journeys = (
+        own.withColumn("back", F.row_number().over(latest))
         .groupBy("client_id")
-        .agg(F.sort_array(F.collect_list(step)).alias("steps"))
+        .agg(
+            F.count("*").alias("total_sessions"),
+            F.coalesce(F.sum("event_count"), F.lit(0)).alias("total_pageviews"),
+            F.min("session_start").alias("first_visit"),
+            F.size(F.collect_set("marketing_channel")).cast("long").alias("channels_touched"),
+            F.sort_array(F.collect_list(F.when(F.col("back") <= cfg.path_length, step))).alias("steps"),
+            F.size(F.collect_set("device_type")).cast("long").alias("devices_used"),
+            F.first("conversion_timestamp").alias("conversion_timestamp"),
+            F.first("revenue").alias("revenue"),
+        )
     )
-    return totals.join(paths, "client_id").select(
+    converted_at = micros(F.col("conversion_timestamp"))
+    return journeys.select(
         "client_id",
         "total_sessions",
         "total_pageviews",
-        whole_days(micros(F.col("conversion_timestamp")), micros(F.col("first_visit"))).alias(
-            "days_from_first_visit"
-        ),
+        whole_days(converted_at, micros(F.col("first_visit"))).alias("days_from_first_visit"),
         "channels_touched",
         join_path(F.col("steps.channel")).alias("channel_path"),
         "devices_used",

@@ -230,22 +230,22 @@ _QUALITY = rf"""flags AS MATERIALIZED (
     coalesce(event_data <> '' AND NOT json_valid(event_data), false) AS bad_json
   FROM raw),
 counted AS (
-  SELECT source_file, count(*) AS total_rows, count_if(null_client) AS null_clients, count_if(bad_time) AS bad_timestamps,
-    count_if(wrong_date) AS wrong_dates, count_if(bad_event) AS bad_events, count_if(bad_url) AS bad_urls,
-    count_if(bad_json) AS bad_json, count_if(event_name = 'checkout_completed') AS completed_rows
+  SELECT source_file, count(*) AS total_rows, count(*) FILTER (WHERE null_client) AS null_clients, count(*) FILTER (WHERE bad_time) AS bad_timestamps,
+    count(*) FILTER (WHERE wrong_date) AS wrong_dates, count(*) FILTER (WHERE bad_event) AS bad_events, count(*) FILTER (WHERE bad_url) AS bad_urls,
+    count(*) FILTER (WHERE bad_json) AS bad_json, count(*) FILTER (WHERE event_name = 'checkout_completed') AS completed_rows
   FROM flags GROUP BY source_file),
 paid_counts AS (
-  SELECT source_file, count(*) AS purchase_rows, count_if(rev_given AND rev = 0) AS zero_revenue,
-    count_if(rev_given AND rev < 0) AS negative_revenue, count_if(is_object AND NOT has_tid) AS missing_transaction_id,
+  SELECT source_file, count(*) AS purchase_rows, count(*) FILTER (WHERE rev_given AND rev = 0) AS zero_revenue,
+    count(*) FILTER (WHERE rev_given AND rev < 0) AS negative_revenue, count(*) FILTER (WHERE is_object AND NOT has_tid) AS missing_transaction_id,
     CAST(coalesce(sum(unpriced) FILTER (is_object AND (NOT rev_given OR rev IS NOT NULL)), 0) AS BIGINT) AS null_item_prices,
-    count_if(NOT is_object OR (rev_given AND rev IS NULL) OR icount IS NULL) AS unreadable_payloads,
+    count(*) FILTER (WHERE NOT is_object OR (rev_given AND rev IS NULL) OR icount IS NULL) AS unreadable_payloads,
     CAST(coalesce(sum(CAST(rev AS DECIMAL(18,6))) FILTER (event_name = 'checkout_completed'), 0) AS DOUBLE) AS revenue
   FROM paid GROUP BY source_file),
 dup AS (
   SELECT source_file, tid AS transaction_id, count(*) AS occurrences FROM paid WHERE has_tid
   GROUP BY source_file, tid HAVING count(*) > 1),
 funnel AS (
-  SELECT source_file, count(*) AS purchasers, count_if(NOT viewed) AS orphans FROM (
+  SELECT source_file, count(*) AS purchasers, count(*) FILTER (WHERE NOT viewed) AS orphans FROM (
     SELECT source_file, client_id, coalesce(bool_or(event_name = 'page_viewed'), false) AS viewed,
       coalesce(bool_or(event_name = 'checkout_completed'), false) AS bought
     FROM raw WHERE client_id IS NOT NULL GROUP BY source_file, client_id) WHERE bought GROUP BY source_file),
@@ -318,7 +318,7 @@ shares AS MATERIALIZED (
   SELECT source_file, marketing_channel, count(*) AS sessions, count(*) / sum(count(*)) OVER (PARTITION BY source_file) AS share
   FROM visits GROUP BY source_file, marketing_channel),
 history AS MATERIALIZED (
-  SELECT r.source_file, count(*) AS events, count_if(r.event_name = 'checkout_completed') AS conversions,
+  SELECT r.source_file, count(*) AS events, count(*) FILTER (WHERE r.event_name = 'checkout_completed') AS conversions,
     CAST(coalesce(sum(CAST(p.rev AS DECIMAL(18,6))) FILTER (r.event_name = 'checkout_completed'), 0) AS DOUBLE) AS revenue
   FROM raw r LEFT JOIN paid p ON p.event_id = r.event_id GROUP BY r.source_file),
 metrics AS MATERIALIZED (
@@ -487,8 +487,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
             (("timestamp", "bad_time", "timestamp_format"), ("page_url", "bad_url", "url_domain")))),
         "dq_results": _with(_DQ_CHAIN, _RESULT_COLUMNS),
         "dq_file_verdict": _with(_DQ_CHAIN, "SELECT * FROM verdicts"),
-        "dq_batch_totals": _with(_DQ_CHAIN, """SELECT count(*) AS files, CAST(count_if(passed) AS BIGINT) AS passed_files,
-  CAST(count_if(NOT passed) AS BIGINT) AS failed_files FROM verdicts"""),
+        "dq_batch_totals": _with(_DQ_CHAIN, """SELECT count(*) AS files, CAST(count(*) FILTER (WHERE passed) AS BIGINT) AS passed_files,
+  CAST(count(*) FILTER (WHERE NOT passed) AS BIGINT) AS failed_files FROM verdicts"""),
         "trend_anomalies": _with([*_DQ_CHAIN, """moved AS (SELECT *, lag(null_client_rate) OVER w AS last_rate, lag(revenue) OVER w AS last_revenue,
   lag(has_referrer) OVER w AS last_referrer FROM daily WINDOW w AS (ORDER BY source_file))"""], f"""
   SELECT source_file, date, 'null_client_spike' AS anomaly, round(last_rate, 4) AS previous_value, round(null_client_rate, 4) AS current_value
@@ -539,7 +539,7 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   (SELECT source_file FROM found WHERE severity = 'CRITICAL') AS critical FROM days"""),
         # reports
         "kpi_summary": _with(_CONV_CHAIN, f"""SELECT {money} AS revenue, count(*) AS orders, round({money} / count(*), 4) AS aov,
-  (SELECT round(count_if(has_purchase) / count(*) * 100, 4) FROM sess) AS session_conversion_pct FROM conv"""),
+  (SELECT round(count(*) FILTER (WHERE has_purchase) / count(*) * 100, 4) FROM sess) AS session_conversion_pct FROM conv"""),
         "channel_efficiency": _with(_ATTR_CHAIN, f"""SELECT last_click_channel AS channel, count(*) AS conversions, {money} AS revenue,
   round({money} / count(*), 4) AS aov FROM attributed GROUP BY last_click_channel"""),
         "revenue_share": _with(_ATTR_CHAIN, f"""SELECT last_click_channel AS channel, {money} AS revenue,
@@ -550,18 +550,18 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   CAST(coalesce(sum(CAST(revenue AS DECIMAL(18,6))) FILTER (attribution_model = 'last_click'), 0) AS DOUBLE) AS l FROM summary GROUP BY channel)"""),
         "funnel_report": _with([*_SESSION_CHAIN, """steps AS (
   SELECT 1 AS step_number, 'sessions' AS step, count(*) AS sessions FROM sess
-  UNION ALL SELECT 2, 'add_to_cart', count_if(has_add_to_cart) FROM sess
-  UNION ALL SELECT 3, 'checkout_started', count_if(has_checkout_started) FROM sess
-  UNION ALL SELECT 4, 'purchase', count_if(has_purchase) FROM sess)"""], """SELECT step_number, step, CAST(sessions AS BIGINT) AS sessions,
+  UNION ALL SELECT 2, 'add_to_cart', count(*) FILTER (WHERE has_add_to_cart) FROM sess
+  UNION ALL SELECT 3, 'checkout_started', count(*) FILTER (WHERE has_checkout_started) FROM sess
+  UNION ALL SELECT 4, 'purchase', count(*) FILTER (WHERE has_purchase) FROM sess)"""], """SELECT step_number, step, CAST(sessions AS BIGINT) AS sessions,
   round(sessions / first_value(sessions) OVER (ORDER BY step_number) * 100, 4) AS pct_of_sessions,
   round(100 - sessions / lag(sessions) OVER (ORDER BY step_number) * 100, 4) AS drop_off_pct FROM steps"""),
         "journey_averages": _with([*_CONV_CHAIN, _JOURNEYS], """SELECT round(avg(total_sessions), 4) AS avg_sessions,
   round(avg(days_from_first_visit), 4) AS avg_days, round(avg(channels_touched), 4) AS avg_channels FROM journeys"""),
-        "device_conversion": _with(_SESSION_CHAIN, f"""SELECT device_type, count(*) AS sessions, CAST(count_if(has_purchase) AS BIGINT) AS conversions,
-  {_pct('count_if(has_purchase)', 'count(*)')} AS conversion_rate_pct,
-  round(count_if(has_purchase) / (SELECT count_if(has_purchase) FROM sess) * 100, 4) AS conversion_share_pct FROM sess GROUP BY device_type"""),
+        "device_conversion": _with(_SESSION_CHAIN, f"""SELECT device_type, count(*) AS sessions, CAST(count(*) FILTER (WHERE has_purchase) AS BIGINT) AS conversions,
+  {_pct('count(*) FILTER (WHERE has_purchase)', 'count(*)')} AS conversion_rate_pct,
+  round(count(*) FILTER (WHERE has_purchase) / (SELECT count(*) FILTER (WHERE has_purchase) FROM sess) * 100, 4) AS conversion_share_pct FROM sess GROUP BY device_type"""),
         "weekend_conversion": _with(_SESSION_CHAIN, f"""SELECT CASE WHEN isodow(session_date) >= 6 THEN 'weekend' ELSE 'weekday' END AS day_kind,
-  count(*) AS sessions, CAST(count_if(has_purchase) AS BIGINT) AS conversions, {_pct('count_if(has_purchase)', 'count(*)')} AS conversion_rate_pct
+  count(*) AS sessions, CAST(count(*) FILTER (WHERE has_purchase) AS BIGINT) AS conversions, {_pct('count(*) FILTER (WHERE has_purchase)', 'count(*)')} AS conversion_rate_pct
   FROM sess WHERE session_date IS NOT NULL GROUP BY 1"""),
         "duplicate_revenue": _with([*_CONV_CHAIN, """every AS (SELECT CAST(sum(TRY_CAST(json_extract_string(j, '$.revenue') AS DECIMAL(18,6))) AS DOUBLE) AS r
   FROM (SELECT CASE WHEN json_valid(event_data) THEN event_data::JSON END AS j FROM raw WHERE event_name = 'checkout_completed')
