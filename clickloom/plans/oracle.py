@@ -397,6 +397,9 @@ def _pct(part: str, whole: str) -> str:
 def oracle_sql() -> dict[str, str]:
     money = "CAST(sum(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE)"
     sql = {
+        "ingest_daily_files": _with([_raw()], f"""SELECT source_file,
+  CASE WHEN CAST(substr(source_file, 14, 2) AS INT) >= 26 THEN '' WHEN referrer <> '' THEN referrer END AS referrer,
+  {', '.join(f"nullif({c}, '') AS {c}" for c in ('client_id', 'page_url', 'timestamp', 'event_name', 'event_data', 'user_agent'))} FROM raw"""),
         "normalise_schema": _with([_raw()], f"""SELECT source_file, event_id, CASE WHEN client_id <> '' THEN client_id END AS client_id,
   CASE WHEN CAST(substr(source_file, 14, 2) AS INT) >= 26 THEN '' WHEN referrer <> '' THEN referrer END AS referrer,
   event_name, regexp_extract(source_file, '([0-9]{{8}})', 1) AS file_date FROM raw"""),
@@ -415,8 +418,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
         "marketing_channel": _with(_CLICKS, """SELECT marketing_channel, traffic_source, traffic_medium, count(*) AS events
   FROM traffic GROUP BY marketing_channel, traffic_source, traffic_medium"""),
         "monitor_channel": _with([_raw(), _TIMED, _PARTS, _MONITOR], "SELECT event_id, monitor_channel FROM monitor"),
-        "device_type_of_agent": _with([_raw()], f"SELECT event_id, {_device('user_agent')} AS device_type FROM raw"),
-        "browser_of_agent": _with([_raw()], f"SELECT event_id, {_browser('user_agent')} AS browser FROM raw"),
+        "device_type": _with([_raw()], f"SELECT event_id, {_device('user_agent')} AS device_type FROM raw"),
+        "browser": _with([_raw()], f"SELECT event_id, {_browser('user_agent')} AS browser FROM raw"),
         "json_validity": _with([_raw()], "SELECT event_id, json_valid(event_data) AS valid FROM raw WHERE event_data <> ''"),
         "purchase_payload": _with([*_PAID_CHAIN, _RECORD], "SELECT event_id, transaction_id, revenue, item_count, user_email_hash FROM record"),
         "sessionize": _with(_HALF_CHAIN, "SELECT event_id, session_id FROM enriched"),
@@ -451,7 +454,7 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   CAST(floor((epoch_us(c.ets) - epoch_us(f.start)) / 86400000000.0) AS BIGINT) AS days_from_first_visit, c.revenue
   FROM conv c JOIN (SELECT client_id, min(session_start) AS start FROM sess GROUP BY client_id) f ON f.client_id = c.client_id
   WHERE c.ets IS NOT NULL"""),
-        "reconciliation_checks": _with([*_CONV_CHAIN, f"""f AS (SELECT (SELECT count(*) FROM raw) AS raw_n, (SELECT count(*) FROM enriched) AS n,
+        "reconciliation": _with([*_CONV_CHAIN, f"""f AS (SELECT (SELECT count(*) FROM raw) AS raw_n, (SELECT count(*) FROM enriched) AS n,
   (SELECT count(session_id) FROM enriched) AS placed, (SELECT count(DISTINCT client_id) FROM enriched) AS clients,
   (SELECT count(*) FROM raw WHERE event_name = 'checkout_completed') AS raw_bought, (SELECT count(*) FROM conv) AS orders,
   (SELECT {money} FROM conv) AS revenue, (SELECT count(*) FROM sess) AS visits,
@@ -473,7 +476,7 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   WHERE has_tid GROUP BY tid HAVING count(*) > 1"""),
         "duplicate_occurrences": _with(_PAID_CHAIN, """SELECT tid AS transaction_id, count(*) OVER (PARTITION BY tid) AS occurrences,
   source_file, TRY_CAST(rtext AS DOUBLE) AS revenue, timestamp FROM paid WHERE has_tid QUALIFY occurrences > 1"""),
-        "transaction_extract": _with(_PAID_CHAIN, """SELECT source_file, tid AS transaction_id, TRY_CAST(rtext AS DOUBLE) AS revenue, timestamp
+        "transactions": _with(_PAID_CHAIN, """SELECT source_file, tid AS transaction_id, TRY_CAST(rtext AS DOUBLE) AS revenue, timestamp
   FROM paid WHERE is_object"""),
         "orphan_purchasers": _with([_raw()], """SELECT source_file, client_id FROM raw WHERE event_name = 'checkout_completed' AND client_id IS NOT NULL
   EXCEPT SELECT source_file, client_id FROM raw WHERE event_name = 'page_viewed'"""),

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,6 +27,9 @@ from clickloom.operators.conversions import purchase_record, transactions
 from clickloom.operators.reconcile import reconciliation
 from clickloom.plans.monitor import monitored_days
 from clickloom.plans.transform import Derived
+from clickloom.session import shared_folder
+from clickloom.sources.daily_files import read_daily_files
+from clickloom.sources.sinks import CSV_OUTPUT
 from clickloom.sources.event_table import raw_clickstream, raw_headers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +51,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore is not part of it."""
+    QUERIES[fn.__name__.removesuffix("_")] = fn
     return fn
 
 
@@ -104,15 +109,30 @@ def _show_times(frame: DataFrame) -> DataFrame:
 # --- loading and cleaning -------------------------------------------------------------
 
 
-@query
-def normalise_schema(spark: SparkSession, folder: str) -> DataFrame:
-    """Three header variants, each with the columns its days really have, made alike."""
-    raw = _raw(spark, folder)
+def _header_variants(raw: DataFrame) -> list[DataFrame]:
+    """The days before, between and after the two header changes."""
     day = F.substring("source_file", 14, 2).cast("int")
     old = raw.filter(day < 10)
     renamed = raw.filter((day >= 10) & (day < 26)).withColumnRenamed("client_id", "clientId")
     bare = raw.filter(day >= 26).withColumnRenamed("client_id", "clientId").drop("referrer")
-    parts = [cl.null_out_tokens(p, CFG) for p in (old, renamed, bare)]
+    return [old, renamed, bare]
+
+
+@query
+def ingest_daily_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The clickstream written as daily CSV folders with changing headers, and read back."""
+    path = f"{shared_folder(spark)}/daily-{uuid4().hex}"
+    for part in _header_variants(_raw(spark, folder)):
+        cells = part.drop("ingest_order", "event_id")
+        cells.write.mode("append").partitionBy("source_file").options(**CSV_OUTPUT).csv(path)
+    events, _ = read_daily_files(spark, path, CFG)
+    return events.drop("ingest_order")
+
+
+@query
+def normalise_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """Three header variants, each with the columns its days really have, made alike."""
+    parts = [cl.null_out_tokens(p, CFG) for p in _header_variants(_raw(spark, folder))]
     first, *rest = [cl.normalise_schema(p, CFG) for p in parts]
     for part in rest:
         first = first.unionByName(part, allowMissingColumns=True)
@@ -180,13 +200,13 @@ def monitor_channel(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def device_type_of_agent(spark: SparkSession, folder: str) -> DataFrame:
+def device_type_(spark: SparkSession, folder: str) -> DataFrame:
     agent = F.col("user_agent")
     return _raw(spark, folder).select("event_id", device_type(agent).alias("device_type"))
 
 
 @query
-def browser_of_agent(spark: SparkSession, folder: str) -> DataFrame:
+def browser_(spark: SparkSession, folder: str) -> DataFrame:
     agent = F.col("user_agent")
     return _raw(spark, folder).select("event_id", browser(agent).alias("browser"))
 
@@ -295,7 +315,7 @@ def repeat_journeys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def reconciliation_checks(spark: SparkSession, folder: str) -> DataFrame:
+def reconciliation_(spark: SparkSession, folder: str) -> DataFrame:
     d = _derived(spark, folder)
     rows = reconciliation(d.raw, d.events_enriched, d.sessions, d.conversions, d.attribution, CFG)
     return _rounded(rows, "original", "transformed", "note", digits=4)
@@ -326,7 +346,7 @@ def duplicate_occurrences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def transaction_extract(spark: SparkSession, folder: str) -> DataFrame:
+def transactions_(spark: SparkSession, folder: str) -> DataFrame:
     rows = transactions(_raw(spark, folder), CFG)
     return rows.select(
         "source_file", "transaction_id", F.col("revenue").try_cast("double").alias("revenue"), "timestamp"

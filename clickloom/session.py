@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,13 +39,12 @@ def build_session(app: str = "clickloom", master: str | None = None, **extra: st
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediates: `spark.checkpoint.dir` as the cluster names it.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="clickloom-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{tempfile.gettempdir()}/clickloom-{context.applicationId}"

@@ -15,6 +15,14 @@ DATE_COLUMNS = {
     "channel_summary": "date",
 }
 
+# Quotes doubled, spaces kept: what the reader gives back is what was written.
+CSV_OUTPUT = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def write_table(frame: DataFrame, folder: str, name: str, fmt: str = "parquet", dynamic: bool = False) -> str:
     """Write one table, replacing it; with `dynamic` only the dates in `frame` are replaced.
@@ -26,7 +34,7 @@ def write_table(frame: DataFrame, folder: str, name: str, fmt: str = "parquet",
     rows = frame.hint("rebalance", date) if date else frame
     writer = rows.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("escape", '"')
+        writer = writer.options(**CSV_OUTPUT)
     if date:
         writer = writer.partitionBy(date)
         if dynamic:

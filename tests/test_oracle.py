@@ -12,9 +12,9 @@ import __spark_entry__ as entry
 
 FOLDER = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.001")
 FAMILIES = (
-    "normalise_schema", "url_parts", "traffic_source", "json_validity", "purchase_payload", "events_enriched", "sessions",
+    "ingest_daily_files", "normalise_schema", "url_parts", "traffic_source", "json_validity", "purchase_payload", "events_enriched", "sessions",
     "incremental_sessions", "conversions", "attribution", "linear_attribution", "channel_summary", "user_journeys",
-    "repeat_journeys", "reconciliation_checks", "dq_results", "dq_file_verdict", "trend_anomalies", "duplicate_occurrences",
+    "repeat_journeys", "reconciliation", "dq_results", "dq_file_verdict", "trend_anomalies", "duplicate_occurrences",
     "offending_samples", "alerts", "metric_results", "metric_zscores", "rolling_baseline", "device_conversion", "funnel_report",
 )
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the test tables")

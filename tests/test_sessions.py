@@ -108,3 +108,16 @@ def test_sessions_are_built_with_two_exchanges(spark):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert "partial_min" in plan
+
+
+def test_a_heavy_client_meets_in_few_rows(spark):
+    """However many events a client sends, the window sees at most (time / gap) rows of it."""
+    day = timedelta(days=1)
+    events = Derived(raw(spark, [{"timestamp": stamp(day * i / 4000)} for i in range(4000)]), CFG).events
+    assert se.summarise_chunks(events, CFG).count() == 48
+
+
+def test_shared_folder(spark):
+    from clickloom.session import shared_folder
+
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
