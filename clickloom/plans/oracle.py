@@ -440,8 +440,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
         "attribution": _with(_ATTR_CHAIN, f"""SELECT * EXCLUDE (event_id, ets, conversion_date), {_show('ets')} AS conversion_timestamp,
   CAST(conversion_date AS VARCHAR) AS conversion_date FROM attributed"""),
         "linear_attribution": _with(_ATTR_CHAIN, """SELECT CAST(CAST(ets AS DATE) AS VARCHAR) AS date, channel,
-  round(CAST(sum(CAST(1::DOUBLE / n AS DECIMAL(18,6))) AS DOUBLE), 4) AS conversions,
-  round(CAST(sum(CAST(revenue / n AS DECIMAL(18,6))) AS DOUBLE), 4) AS revenue
+  CAST(sum(CAST(1::DOUBLE / n AS DECIMAL(18,6))) AS DOUBLE) AS conversions,
+  CAST(sum(CAST(revenue / n AS DECIMAL(18,6))) AS DOUBLE) AS revenue
   FROM (SELECT ets, revenue, coalesce(marketing_channel, 'Direct') AS channel, count(*) OVER (PARTITION BY event_id) AS n FROM touched)
   WHERE ets IS NOT NULL GROUP BY CAST(ets AS DATE), channel"""),
         "channel_summary": _with([*_ATTR_CHAIN, _SUMMARY], """SELECT CAST(date AS VARCHAR) AS date, channel, conversions, revenue,

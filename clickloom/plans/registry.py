@@ -287,8 +287,7 @@ def attribution(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def linear_attribution(spark: SparkSession, folder: str) -> DataFrame:
     d = _derived(spark, folder)
-    rows = at.linear_attribution(d.purchases, d.sessions, CFG)
-    return _rounded(_show_times(rows), "conversions", "revenue", digits=4)
+    return _show_times(at.linear_attribution(d.purchases, d.sessions, CFG))
 
 
 @query

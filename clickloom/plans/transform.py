@@ -18,7 +18,7 @@ from clickloom.operators.journeys import user_journeys
 from clickloom.operators.reconcile import reconciliation
 from clickloom.session import shared_folder
 from clickloom.sources.daily_files import read_daily_files
-from clickloom.sources.sinks import write_table
+from clickloom.sources.sinks import store_events, write_table
 
 
 @dataclass(frozen=True)
@@ -71,12 +71,15 @@ def run_transformation(
 ) -> dict[str, DataFrame]:
     """Write the six tables and return them as read from intermediates, plus the checks.
 
-    Numbered chunks, conversions and attribution feed several tables, so each is written once
-    to the shared folder and read back: later tables do not repeat the work, and losing an
-    executor costs no more than the stage it ran.
+    Raw files, numbered chunks, conversions and attribution feed several tables, so each is
+    written once to the shared folder and read back: later tables do not repeat the work, and
+    losing an executor costs no more than the stage it ran.
     """
-    raw = read_daily_files(spark, source, cfg)[0] if isinstance(source, str) else source
     work = f"{shared_folder(spark)}/transform-{uuid4().hex}"
+    if isinstance(source, str):
+        raw = store_events(read_daily_files(spark, source, cfg)[0], f"{work}/raw")
+    else:
+        raw = source
 
     def stored(frame: DataFrame, name: str) -> DataFrame:
         path = f"{work}/{name}"

@@ -43,6 +43,17 @@ def write_table(frame: DataFrame, folder: str, name: str, fmt: str = "parquet",
     return path
 
 
+def store_events(events: DataFrame, path: str) -> DataFrame:
+    """Raw events as Parquet by file, and the frame that reads them back.
+
+    Text files are scanned once this way; later scans read the columns and days they need,
+    and `ingest_order` is fixed. Each task writes the split it read, without a shuffle.
+    """
+    events.write.mode("overwrite").partitionBy("source_file").parquet(path)
+    stored = events.sparkSession.read.schema(events.schema).parquet(path)
+    return stored.select(events.columns)
+
+
 def write_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
     return {name: write_table(frame, folder, name, fmt) for name, frame in tables.items()}
 

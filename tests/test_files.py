@@ -11,7 +11,7 @@ from clickloom.operators import sessions as se
 from clickloom.plans.transform import Derived, run_transformation
 from clickloom.plans.validate import run_validation
 from clickloom.sources.daily_files import discover_files, read_daily_files
-from clickloom.sources.sinks import row_counts, write_alerts, write_table
+from clickloom.sources.sinks import row_counts, store_events, write_alerts, write_table
 
 CFG = Config()
 FULL = ["client_id", "page_url", "referrer", "timestamp", "event_name", "event_data", "user_agent"]
@@ -87,8 +87,15 @@ def test_input_order_follows_the_files(spark, tmp_path):
     assert urls == [line["page_url"] for line in lines]
 
 
-def test_validation_of_files(spark, folder):
+def test_stored_events_are_the_same(spark, folder, tmp_path_factory):
+    events, _ = read_daily_files(spark, str(folder), CFG)
+    back = store_events(events, str(tmp_path_factory.mktemp("raw")))
+    assert back.columns == events.columns and rows(back) == rows(events)
+
+
+def test_validation_of_files(spark, folder, tmp_path_factory):
     events, headers = read_daily_files(spark, str(folder), CFG, fill_referrer=False)
+    events = store_events(events, str(tmp_path_factory.mktemp("raw")))
     out = run_validation(events, headers, CFG)
     failed = {(r.source_file, r.check_name) for r in out["results"].filter("not passed").collect()}
     assert ("events_20250303.csv", "referrer") in failed and ("events_20250302.csv", "referrer") not in failed
