@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings a running session accepts.
@@ -39,12 +37,10 @@ def build_session(app: str = "clickloom", master: str | None = None, **extra: st
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediates: `spark.checkpoint.dir` as the cluster names it.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only where that is unset, a folder beside the warehouse, which every executor reaches too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return f"{tempfile.gettempdir()}/clickloom-{context.applicationId}"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_scratch/{spark.sparkContext.applicationId}"
