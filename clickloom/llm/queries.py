@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import simhash
+from clickloom.llm import decontaminate, packing, secrets, simhash
 from clickloom.llm.common import table
+from clickloom.llm.oracle import ORACLES
 
 
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,7 +22,41 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark words of every document, and the verdict."""
+    found = decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of every document, counted by kind and as digests."""
+    found = secrets.secret_spans(table(spark, folder, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    spans = secrets.joined(F.col("_spans"))
+    return found.select("doc_id", *map(count, secrets.KINDS), F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence."""
+    pieces = packing.pack(table(spark, folder, "documents"))
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_secrets": op5_secrets,
+    "op6_packing": op6_packing,
 }
-ORACLES: dict[str, str] = {}
