@@ -7,11 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, packing, secrets, simhash
+from clickloom.llm import decontaminate, packing, quality, secrets, simhash, toxicity
 from clickloom.llm.common import table
 from clickloom.llm.oracle import ORACLES
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = table(spark, folder, "documents")
+    found = toxicity.fit_labels(docs, table(spark, folder, "labels")).score(docs.select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("_severity").alias("expected_severity"),
+        F.col("_grade").alias("grade"),
+        F.col("_toxic").alias("p_toxic"),
+        (F.col("_toxic") >= 0.5).alias("toxic"),
+    )
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -54,9 +67,17 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability of every document to be good, and the verdict."""
+    found = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", F.col("_good").alias("quality"), (F.col("_good") >= quality.KEEP).alias("keep"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op4_decontaminate": op4_decontaminate,
     "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
 }

@@ -5,19 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import simhash
+from clickloom.llm import decontaminate, packing, quality, secrets, simhash
 from clickloom.llm.common import saved, table
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier finds good stay."""
+    scored = quality.score(docs, table(spark, sf_dir, "labels"))
+    return scored.filter(F.col("_good") >= quality.KEEP).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the least id; documents without an id stay."""
+    """One document of each group stays, the one with the least id; documents without an id stay.
+
+    Rows that repeat an id share its fate.
+    """
     found = simhash.near_duplicates(docs)
     others = found.filter("id <> component").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a twentieth or more of their words in benchmark windows go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = found.filter(decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))).select(F.col("key").alias("_key"))
+    return docs.join(found, decontaminate.text_key(docs["text"]) == found["_key"], "left_anti").select(*docs.columns)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; what is found in its text is masked and its length counted anew."""
+    masked = secrets.secret_spans(docs).withColumn("text", secrets.redact(F.col("text"), F.col("_spans")))
+    if "n_chars" in docs.columns:
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        masked = masked.withColumn("n_chars", F.when(F.size("_spans") > 0, length).otherwise(F.col("n_chars")))
+    return masked.select(*docs.columns)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in training sequences."""
+    return packing.pack(docs).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
-    ("simhash near-dedup", near_duplicates),
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
+    ("packing", sequences),
 ]
 ORACLE_SQL = None
 
