@@ -22,6 +22,38 @@ _MATCHES = " UNION ALL ".join(
 )
 
 ORACLES: dict[str, str] = {
+    "op3_preferences": """
+        WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        last AS (
+            SELECT conv_id, turn, text FROM t WHERE role = 'assistant' AND turn IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1
+        ),
+        pair AS (SELECT a.conv_id, a.turn, a.text AS mine, b.text AS other FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
+        side AS (
+            SELECT s.side, t.conv_id, t.turn, t.role, t.text FROM t JOIN pair USING (conv_id), (VALUES ('a'), ('b')) s(side) WHERE t.turn < pair.turn
+            UNION ALL SELECT 'a', conv_id, turn, 'assistant', mine FROM pair
+            UNION ALL SELECT 'b', conv_id, turn, 'assistant', other FROM pair
+        ),
+        num AS (
+            SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS r,
+                row_number() OVER (PARTITION BY side, conv_id ORDER BY turn, role, text) AS i
+            FROM side
+        ),
+        same AS (
+            SELECT a.conv_id, coalesce(min(a.i) FILTER (b.i IS NULL OR a.role <> b.role OR a.text <> b.text) - 1, count(*)) AS n_shared
+            FROM (SELECT * FROM num WHERE side = 'a') a LEFT JOIN (SELECT * FROM num WHERE side = 'b') b USING (conv_id, i) GROUP BY a.conv_id
+        ),
+        placed AS (
+            SELECT *, sum(length(r)) OVER (PARTITION BY side, conv_id, i > n_shared ORDER BY i) AS stop FROM num JOIN same USING (conv_id)
+        )
+        SELECT conv_id, CAST(n_shared AS INTEGER) AS n_shared,
+            coalesce(string_agg(r, '' ORDER BY i) FILTER (side = 'a' AND i <= n_shared), '') AS prompt,
+            coalesce(string_agg(r, '' ORDER BY i) FILTER (side = 'a' AND i > n_shared), '') AS chosen,
+            coalesce(string_agg(r, '' ORDER BY i) FILTER (side = 'b' AND i > n_shared), '') AS rejected,
+            coalesce(string_agg((stop - length(r) + 14) || ':' || (stop - 1), ',' ORDER BY i) FILTER (side = 'a' AND i > n_shared AND role = 'assistant'), '') AS chosen_mask,
+            coalesce(string_agg((stop - length(r) + 14) || ':' || (stop - 1), ',' ORDER BY i) FILTER (side = 'b' AND i > n_shared AND role = 'assistant'), '') AS rejected_mask
+        FROM placed GROUP BY conv_id, n_shared
+    """,
     "op4_decontaminate": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         b AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),

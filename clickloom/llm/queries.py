@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, packing, quality, secrets, simhash, toxicity
+from clickloom.llm import decontaminate, packing, preferences, quality, secrets, simhash, toxicity, wordpiece
 from clickloom.llm.common import table
 from clickloom.llm.oracle import ORACLES
 
@@ -35,6 +35,11 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation's last answer against its neighbour's, with the shared turns as prompt."""
+    return preferences.format_pairs(*preferences.swapped_answers(table(spark, folder, "conversations")), "conv_id")
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark words of every document, and the verdict."""
     found = decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -73,11 +78,19 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("_good").alias("quality"), (F.col("_good") >= quality.KEEP).alias("keep"))
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Words and greedy longest-match pieces of every document."""
+    found = wordpiece.token_counts(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_tokens").alias("n_tokens"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
+    "op3_preferences": op3_preferences,
     "op4_decontaminate": op4_decontaminate,
     "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
+    "op9_token_counts": op9_token_counts,
 }
