@@ -95,4 +95,18 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM documents LEFT JOIN j USING (doc_id)
     """,
+    "op8_embeddings": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+        ),
+        reach AS (SELECT a AS n, a AS m FROM link UNION SELECT reach.n, link.b FROM reach JOIN link ON link.a = reach.m),
+        root AS (SELECT n, min(m) AS root FROM reach GROUP BY n),
+        deg AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+        FROM embeddings LEFT JOIN deg ON a = vec_id LEFT JOIN root ON n = vec_id
+    """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, packing, preferences, quality, secrets, simhash, toxicity, wordpiece
+from clickloom.llm import decontaminate, embeddings, packing, preferences, quality, secrets, simhash, toxicity, wordpiece
 from clickloom.llm.common import table
 from clickloom.llm.oracle import ORACLES
 
@@ -78,6 +78,13 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("_good").alias("quality"), (F.col("_good") >= quality.KEEP).alias("keep"))
 
 
+def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    found = embeddings.near_duplicates(table(spark, folder, "embeddings"))
+    component = F.col("component").alias("component_id")
+    return found.select(F.col("id").alias("vec_id"), "n_links", component, (F.col("id") == F.col("component")).alias("kept"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Words and greedy longest-match pieces of every document."""
     found = wordpiece.token_counts(table(spark, folder, "documents").select("doc_id", "text"))
@@ -92,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
+    "op8_embeddings": op8_embeddings,
     "op9_token_counts": op9_token_counts,
 }
