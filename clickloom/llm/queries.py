@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, embeddings, packing, preferences, quality, secrets, simhash, toxicity, wordpiece
+from clickloom.llm import decontaminate, embeddings, katz, packing, preferences, quality, secrets, simhash, toxicity, wordpiece
 from clickloom.llm.common import table
 from clickloom.llm.oracle import ORACLES
 
@@ -91,6 +91,12 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_tokens").alias("n_tokens"))
 
 
+def op10_katz(spark: SparkSession, folder: str) -> DataFrame:
+    """Katz and additive scores of every document, learned from four in five of them."""
+    found = katz.scores(table(spark, folder, "documents"), "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 1")
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -101,4 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_embeddings": op8_embeddings,
     "op9_token_counts": op9_token_counts,
+    "op10_katz": op10_katz,
 }
