@@ -29,6 +29,6 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def small_enough(frame: DataFrame, rows: int) -> bool:
-    """Whether the frame has at most so many rows; looks at one row more than that."""
-    return frame.limit(rows + 1).count() <= rows
+def sendable(frame: DataFrame, rows: int) -> DataFrame:
+    """The frame, marked for broadcast if it is counted to have at most so many rows."""
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame

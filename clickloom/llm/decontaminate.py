@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import lower_ascii, saved, small_enough
+from clickloom.llm.common import lower_ascii, saved, sendable
 
 WINDOW, GRAM = 13, 5
-BROADCAST_ROWS = 200_000  # rows of two longs, or of one window, that may be sent to all executors
+BROADCAST_ROWS = 200_000  # fingerprints, windows or text keys that may be sent to all executors
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -38,14 +38,9 @@ def _grams(array: Column, count: Column, size: int) -> Column:
 
 
 def _least(hashes: Column, span: int) -> Column:
-    """Distinct minima of every `span` neighbours, by doubling: each pass is one comparison a position."""
-    done = 1
-    while done < span:
-        step = min(done, span - done)
-        hashes = F.zip_with(hashes, F.slice(hashes, F.lit(step + 1), F.greatest(F.size(hashes), F.lit(1))), lambda a, b: F.when(b < a, b).otherwise(a))
-        hashes = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - step, F.lit(0)))
-        done += step
-    return F.array_distinct(hashes)
+    """Distinct minima of every `span` neighbours; `hashes` must be a plain column, it is used often."""
+    at = F.sequence(F.lit(0), F.size(hashes) - span)
+    return F.array_distinct(F.transform(at, lambda i: F.least(*(F.get(hashes, i + j) for j in range(span)))))
 
 
 def _one(column: Column) -> Column:
@@ -53,11 +48,6 @@ def _one(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
-def _lookup(frame: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
-    """Join with the benchmark's side: sent to the executors only when it is counted to be small."""
-    return frame.join(F.broadcast(small) if small_enough(small, BROADCAST_ROWS) else small, on)
-
-
 def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, text_column: str = "text", item_column: str = "item_id"
 ) -> DataFrame:
@@ -75,7 +65,8 @@ def contamination(
     windows = item.select("item", "length", "w", F.explode(starts).alias("s"))
     windows = saved(windows.select("length", F.array_join(F.slice("w", F.col("s"), F.col("length")), " ").alias("window"), "item").distinct(), "windows")
     whole, short = item.filter(F.col("length") == window), item.filter(F.col("length") < window)
-    marks = whole.select(F.lit(window).alias("length"), F.explode(_least(_grams(F.col("w"), F.col("n"), gram), window - gram + 1)).alias("h"))
+    marks = whole.select(_one(_grams(F.col("w"), F.col("n"), gram)).alias("g"))
+    marks = marks.select(F.lit(window).alias("length"), F.explode(_least(F.col("g"), window - gram + 1)).alias("h"))
     lengths = sorted(r["length"] for r in short.select("length").distinct().collect())  # fewer than `window` numbers
     sizes = sorted({min(length, gram) for length in lengths})
     for size in sizes:
@@ -89,7 +80,7 @@ def contamination(
     looked = [F.when(F.col("n") >= window, _least(F.col("g"), window - gram + 1)).otherwise(F.array().cast("array<bigint>"))]
     looked += [F.array_distinct(F.col("g") if size == gram else _grams(F.col("w"), F.col("n"), size)) for size in sizes]
     marked = parsed.select("key", F.explode(F.flatten(F.array(*looked))).alias("h"))
-    hits = _lookup(marked, marks, ["h"]).groupBy("key").agg(F.collect_set(F.struct("length", "h")).alias("marks"))
+    hits = marked.join(sendable(marks, BROADCAST_ROWS), "h").groupBy("key").agg(F.collect_set(F.struct("length", "h")).alias("marks"))
     hits = saved(hits, "hits")
 
     # Extension: the windows around shared fingerprints, compared word by word.
@@ -108,7 +99,7 @@ def contamination(
 
     spans = found.select("key", "n", "w", F.explode(F.flatten(F.array(*map(starts, [window, *lengths])))).alias("x"))
     spans = spans.select("key", "n", "x.length", "x.s", F.array_join(F.slice("w", F.col("x.s") + 1, F.col("x.length")), " ").alias("window"))
-    spans = _lookup(spans, windows, ["length", "window"])
+    spans = spans.join(sendable(windows, BROADCAST_ROWS), ["length", "window"])
     covered = F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("s", "length")), lambda x: F.sequence(x["s"], x["s"] + x["length"] - 1))))
     return spans.groupBy("key", F.col("n").cast("long").alias("n_words")).agg(
         F.size(covered).cast("long").alias("n_hit"), F.sort_array(F.collect_set("item")).alias("items")
