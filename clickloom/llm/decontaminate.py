@@ -84,7 +84,8 @@ def contamination(
     hits = saved(hits, "hits")
 
     # Extension: the windows around shared fingerprints, compared word by word.
-    found = texts.join(hits, "key").dropDuplicates(["key"])
+    keys = sendable(hits.select("key"), BROADCAST_ROWS)
+    found = texts.join(keys, "key", "left_semi").dropDuplicates(["key"]).join(hits, "key")
     found = found.select("key", "marks", _one(words(F.col("text"))).alias("w")).withColumn("n", F.size("w"))
 
     def starts(length: int) -> Column:
