@@ -20,6 +20,7 @@ import pickle
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -218,6 +219,8 @@ class Known:
 
     def parcels(self, entries: Entries) -> Iterator[tuple[int, bytes]]:
         """The entries packed for each partition."""
+        if not entries.word.size:
+            return
         to = self.route(entries)
         order = np.argsort(to, kind="stable")
         names, starts = np.unique(to[order], return_index=True)
@@ -228,8 +231,9 @@ class Known:
 _START = np.uint64(_digest(START)) | _RARE
 
 
-def _parcel_batch(parcels: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r for r, _ in parcels], pa.int32()), pa.array([d for _, d in parcels], pa.binary())], ["r", "data"])
+def _parcel_batches(parcels: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(parcels, 64)):
+        yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in some], pa.int32()), pa.array([d for _, d in some], pa.binary())], ["r", "data"])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,9 +353,7 @@ def _table(make: Callable, known, others: tuple = ()) -> Callable:
 
 def _send(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.RecordBatch]:
     for entries in _entries(batches, known):
-        parcels = list(known.parcels(entries.take(entries.word < _RARE)))
-        for i in range(0, len(parcels), 64):
-            yield _parcel_batch(parcels[i : i + 64])
+        yield from _parcel_batches(known.parcels(entries.take(entries.word < _RARE)))
 
 
 _RARE_ROWS = "digest long, before long, times long, key long, id long, named boolean, held boolean"
@@ -371,9 +373,7 @@ def _send_rare(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.R
         keys, first, doc = np.unique(c["key"], return_index=True, return_inverse=True)
         docs = {"key": keys, **{n: c[n][first] for n in ("id", "named", "held")}}
         entries = Entries(c["before"].view(np.uint64), c["digest"].view(np.uint64) | _RARE, c["n"], c["times"], doc, docs)
-        parcels = list(known.parcels(entries))
-        for i in range(0, len(parcels), 64):
-            yield _parcel_batch(parcels[i : i + 64])
+        yield from _parcel_batches(known.parcels(entries))
 
     held: list[dict[str, np.ndarray]] = []
     for batch in batches:
