@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import saved
+from clickloom.llm.common import saved, sendable
 from clickloom.session import shared_folder
 
 # Kind, pattern, the group that is measured, its least length.
@@ -30,6 +30,7 @@ RULES = (
 )
 KINDS = tuple(rule[0] for rule in RULES)
 VERSION = "base-1"
+BROADCAST_ROWS = 300_000  # copies, or blobs with findings, that may be sent to all executors
 _LEDGER = {"scanned": "blob string, rules string", "findings": "blob string, rules string, kind string, start long, end long"}
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")  # a whole run of the hex rule whenever the run is long enough
 
@@ -83,12 +84,16 @@ def update_ledger(rows: DataFrame, ledger: str, version: str = VERSION) -> DataF
     """Scan what the ledger lacks of `id, blob, text` rows; returns all findings under this rule version, distinct."""
     spark = rows.sparkSession
     known = _read(spark, ledger, "scanned").filter(F.col("rules") == version).select("blob").distinct()
-    # One row stands for all copies of a blob; texts only move once, to meet the row chosen.
-    chosen = rows.groupBy("blob").agg(F.min("id").alias("chosen")).join(known, "blob", "left_anti")
-    chosen = saved(chosen.withColumnRenamed("blob", "unseen"), "unseen")
-    unseen = rows.join(chosen, (F.col("blob") == F.col("unseen")) & F.col("id").eqNullSafe(F.col("chosen"))).select("blob", "text")
+    # One row stands for all copies of a blob; the others, usually few, are skipped where they lie, so texts need not move.
+    pairs = rows.select("blob", "id")
+    chosen = saved(pairs.groupBy("blob").agg(F.min("id").alias("chosen")).join(known, "blob", "left_anti"), "unseen")
+    stands = chosen.withColumnRenamed("blob", "unseen")
+    copies = pairs.join(stands, F.col("blob") == F.col("unseen"), "left")
+    copies = copies.filter("unseen IS NULL OR NOT id <=> chosen").select(F.col("blob").alias("_b"), F.col("id").alias("_i")).distinct()
+    copies = sendable(saved(copies, "copies"), BROADCAST_ROWS)
+    unseen = rows.join(copies, (F.col("blob") == F.col("_b")) & F.col("id").eqNullSafe(F.col("_i")), "left_anti").select("blob", "text")
     unseen.mapInArrow(_scan_batches(version), _LEDGER["findings"]).write.mode("append").parquet(f"{ledger}/findings")
-    chosen.select(F.col("unseen").alias("blob"), F.lit(version).alias("rules")).write.mode("append").parquet(f"{ledger}/scanned")
+    chosen.select("blob", F.lit(version).alias("rules")).write.mode("append").parquet(f"{ledger}/scanned")
     return _read(spark, ledger, "findings").filter(F.col("rules") == version).select("blob", "kind", "start", "end").distinct()
 
 
@@ -110,8 +115,9 @@ def secret_spans(docs: DataFrame, ledger: str | None = None, id_column: str = "d
     rows = docs.select(F.col(id_column).alias("id"), blob_of(F.col(text_column)).alias("blob"), F.coalesce(text_column, F.lit("")).alias("text"))
     spans = saved(spans_by_blob(update_ledger(rows, ledger)), "spans").select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
     none = F.array().cast(spans.schema["_spans"].dataType)
-    joined = docs.join(spans, blob_of(docs[text_column]) == spans["_blob"], "left")
-    return joined.select(*(docs[c] for c in docs.columns), F.coalesce("_spans", none).alias("_spans"))
+    keyed = docs.withColumn("_key", blob_of(F.col(text_column)))  # a column, so that a join need not move texts nobody asks for
+    found = keyed.join(sendable(spans, BROADCAST_ROWS), F.col("_key") == F.col("_blob"), "left")
+    return found.select(*docs.columns, F.coalesce("_spans", none).alias("_spans"))
 
 
 def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
