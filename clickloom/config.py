@@ -36,6 +36,7 @@ class QualityLimits:
     revenue_drop_factor: float = 0.3
     history_spike_factor: float = 2.0
     sample_size: int = 5
+    payload_sample_size: int = 3
 
 
 @dataclass(frozen=True)
@@ -84,8 +85,8 @@ class Config:
     email_output: str = "sha256"
     # Let paid clicks from social networks be Paid Social instead of Paid Search.
     paid_social_first: bool = False
-    # Copies of each lookup row in joins whose big side may hold one hot key.
-    join_salts: int = 8
+    # Daily files may hold line breaks inside quoted cells; such files are not split.
+    multi_line: bool = False
 
     quality: QualityLimits = field(default_factory=QualityLimits)
     monitor: MonitorLimits = field(default_factory=MonitorLimits)

@@ -8,6 +8,10 @@ from clickloom.config import Config
 from clickloom.functions.basics import is_blank
 
 
+# The text of a row that the reader could not take apart; files are read with it.
+CORRUPT = "corrupt_record"
+
+
 def normalise_schema(raw: DataFrame, cfg: Config, fill_referrer: bool = True) -> DataFrame:
     """Rename `clientId` (exact spelling) and add the expected columns a file lacks.
 
@@ -52,9 +56,24 @@ def drop_null_clients(events: DataFrame) -> DataFrame:
     return events.filter(~is_blank(F.col("client_id")))
 
 
+def sound_rows(raw: DataFrame) -> DataFrame:
+    """Rows that the reader could take apart."""
+    return raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
+
+
+def rejects(raw: DataFrame, cfg: Config) -> DataFrame:
+    """Rows that no table takes in, as they came, with the `reason`: their cells or their time can't be read."""
+    named = normalise_schema(raw, cfg)
+    if CORRUPT not in named.columns:
+        named = named.withColumn(CORRUPT, F.lit(None).cast("string"))
+    unreadable = F.col("timestamp").isNotNull() & event_time(F.col("timestamp")).isNull()
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed_row").when(unreadable, "unreadable_time")
+    return named.withColumn("reason", reason).filter("reason IS NOT NULL")
+
+
 def clean_events(raw: DataFrame, cfg: Config) -> DataFrame:
-    """Named, typed events that have a client."""
-    timed, _ = parse_event_time(normalise_schema(raw, cfg), cfg)
+    """Named, typed events that have a client; what is left out is null clients and `rejects`."""
+    timed, _ = parse_event_time(normalise_schema(sound_rows(raw), cfg), cfg)
     return drop_null_clients(timed)
 
 

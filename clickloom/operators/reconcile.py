@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.config import Config
-from clickloom.functions.basics import count_if, exact_sum, ratio
+from clickloom.functions.basics import count_if, exact_sum, is_blank, ratio
 from clickloom.functions.payload import with_payload
+from clickloom.operators.cleaning import CORRUPT, event_time, normalise_schema
 
 
 def reconciliation(
     raw: DataFrame, enriched: DataFrame, sessions: DataFrame, conversions: DataFrame,
     attributed: DataFrame, cfg: Config,
 ) -> DataFrame:
-    """Six checks: what the source holds, what the tables hold, a figure, a verdict.
+    """Seven checks: what the source holds, what the tables hold, a figure, a verdict.
 
     Each table is aggregated once to one row; the checks combine those rows.
     """
@@ -23,6 +24,12 @@ def reconciliation(
         count_if(bought).alias("raw_purchases"),
         exact_sum(F.when(bought, F.col("payload.revenue"))).alias("raw_revenue"),
     )
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    untimed = F.col("timestamp").isNotNull() & event_time(F.col("timestamp")).isNull()
+    left_out = normalise_schema(raw, cfg).agg(
+        count_if(broken | untimed).alias("rejected"),
+        count_if(~(broken | untimed) & is_blank(F.col("client_id"))).alias("without_client"),
+    )
     per_client = enriched.groupBy("client_id").agg(
         F.count("*").alias("n"), F.count("session_id").alias("placed")
     )
@@ -35,7 +42,8 @@ def reconciliation(
         F.count("*").alias("orders"), exact_sum(F.col("revenue")).alias("revenue")
     )
     totals = (
-        source.withColumn("e", events.select(F.struct("*")).scalar())
+        source.withColumn("l", left_out.select(F.struct("*")).scalar())
+        .withColumn("e", events.select(F.struct("*")).scalar())
         .withColumn("c", bought_rows.select(F.struct("*")).scalar())
         .withColumn("n_sessions", sessions.agg(F.count("*")).scalar())
         .withColumn("n_attributed", attributed.agg(F.count("*")).scalar())
@@ -56,6 +64,9 @@ def reconciliation(
         _row(6, "sessions_per_client", e["clients"], F.col("n_sessions"),
              F.round(ratio(F.col("n_sessions"), e["clients"]), 4),
              F.col("n_sessions") >= e["clients"]),
+        _row(7, "rows_accounted_for", F.col("raw_events"),
+             e["events"] + F.col("l.without_client") + F.col("l.rejected"), F.col("l.rejected"),
+             F.col("raw_events") == e["events"] + F.col("l.without_client") + F.col("l.rejected")),
     )
     return totals.select(F.inline(rows))
 

@@ -12,13 +12,13 @@ from clickloom.config import Config
 from clickloom.functions.channels import with_traffic_source
 from clickloom.operators import attribution as at
 from clickloom.operators import sessions as se
-from clickloom.operators.cleaning import clean_events
+from clickloom.operators.cleaning import clean_events, rejects
 from clickloom.operators.conversions import conversions, first_purchases
 from clickloom.operators.journeys import user_journeys
 from clickloom.operators.reconcile import reconciliation
 from clickloom.session import shared_folder
 from clickloom.sources.daily_files import read_daily_files
-from clickloom.sources.sinks import store_events, write_table
+from clickloom.sources.sinks import CSV_OUTPUT, store_events, write_table
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,7 @@ class Derived:
 def run_transformation(
     spark: SparkSession, source: str | DataFrame, folder: str, cfg: Config, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
-    """Write the six tables and return them as read from intermediates, plus the checks.
+    """Write the six tables and the rejects, and return them as read back, plus the checks.
 
     Raw files, numbered chunks, conversions and attribution feed several tables, so each is
     written once to the shared folder and read back: later tables do not repeat the work, and
@@ -98,12 +98,13 @@ def run_transformation(
         "attribution": attributed,
         "channel_summary": at.channel_summary(attributed),
         "user_journeys": user_journeys(sessions, bought, cfg),
+        "rejects": rejects(raw, cfg).drop("ingest_order"),
     }
     written = {}
     for name, frame in tables.items():
         path = write_table(frame, folder, name, fmt)
         reader = spark.read.schema(frame.schema)
-        written[name] = reader.format(fmt).options(header="true", escape='"').load(path).select(frame.columns)
+        written[name] = reader.format(fmt).options(**CSV_OUTPUT).load(path).select(frame.columns)
     written["reconciliation"] = reconciliation(
         raw, written["events_enriched"], sessions, bought, attributed, cfg
     )

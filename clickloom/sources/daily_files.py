@@ -14,10 +14,19 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickloom.config import Config
-from clickloom.operators.cleaning import normalise_schema, null_out_tokens
+from clickloom.operators.cleaning import CORRUPT, normalise_schema, null_out_tokens
 
 _DAY = re.compile(r"(?:^|[/=])(events_[^/]*\.csv)(?=/|$)")
-_CSV = {"header": "true", "quote": '"', "escape": '"'}
+# A header other than expected is an error, and a row of other than its cells is kept as text.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "enforceSchema": "false",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+    "columnPruning": "false",
+}
 
 
 def discover_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
@@ -31,18 +40,18 @@ def discover_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     return dict(sorted(days.items()))
 
 
-def read_headers(spark: SparkSession, days: dict[str, list[str]]) -> dict[str, list[str]]:
-    """Column names of each day as its first file spells them; Spark reads one line per day."""
+def read_headers(spark: SparkSession, files: list[str], cfg: Config) -> dict[str, list[str]]:
+    """Column names of each file as it spells them; Spark reads one line per file."""
 
-    def header(files: list[str]) -> list[str]:
-        return spark.read.options(**_CSV).csv(files[0]).columns
+    def header(file: str) -> list[str]:
+        return spark.read.options(**_CSV, multiLine=cfg.multi_line).csv(file).columns
 
     with ThreadPoolExecutor(max_workers=16) as pool:
-        return dict(zip(days, pool.map(header, days.values()), strict=True))
+        return dict(zip(files, pool.map(header, files), strict=True))
 
 
 def header_table(spark: SparkSession, headers: dict[str, list[str]]) -> DataFrame:
-    """`source_file`, `columns`: one row per day."""
+    """`source_file`, `columns`: one row per day, the columns that all its files have."""
     return spark.createDataFrame(
         list(headers.items()), "source_file string, columns array<string>"
     )
@@ -53,15 +62,20 @@ def read_daily_files(
 ) -> tuple[DataFrame, DataFrame]:
     """All events of a folder as text columns, and the header table.
 
-    `ingest_order` (file, offset of the split, row in the split) is the order of the input.
+    `ingest_order` (file, offset of the split, row in the split) is the order of the input. It is
+    only fixed once the frame is stored. Rows with other than their header's cells, such as halves
+    of a cell with a line break, have their text in `corrupt_record`.
     """
     days = discover_files(spark, folder)
     if not days:
         raise FileNotFoundError(f"no events_*.csv in {folder}")
-    headers = read_headers(spark, days)
+    own = read_headers(spark, [f for files in days.values() for f in files], cfg)
     alike: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for day, files in days.items():
-        alike[tuple(headers[day])].extend(files)
+    for file, names in own.items():
+        alike[tuple(names)].append(file)
+    headers = {
+        day: [c for c in own[files[0]] if all(c in own[f] for f in files)] for day, files in days.items()
+    }
     parts = [
         normalise_schema(_scan(spark, names, files, cfg), cfg, fill_referrer)
         for names, files in alike.items()
@@ -73,8 +87,8 @@ def read_daily_files(
 
 
 def _scan(spark: SparkSession, names: tuple[str, ...], files: list[str], cfg: Config) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = spark.read.schema(schema).options(**_CSV).csv(files)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+    rows = spark.read.schema(schema).options(**_CSV, multiLine=cfg.multi_line).csv(files)
     source = F.regexp_extract("_metadata.file_path", _DAY.pattern, 1)
     tagged = rows.select(
         "*",

@@ -21,17 +21,31 @@ CSV_OUTPUT = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+# The order of rows within a date, or within a table without one.
+ORDER = {
+    "events_enriched": ("client_id", "event_timestamp"),
+    "sessions": ("client_id", "session_start"),
+    "conversions": ("conversion_timestamp", "transaction_id"),
+    "attribution": ("conversion_timestamp", "transaction_id"),
+    "channel_summary": ("channel", "attribution_model"),
+    "user_journeys": ("client_id",),
 }
 
 
 def write_table(frame: DataFrame, folder: str, name: str, fmt: str = "parquet", dynamic: bool = False) -> str:
     """Write one table, replacing it; with `dynamic` only the dates in `frame` are replaced.
 
-    Rows are rebalanced by date, which splits a large day over several files.
+    Rows are rebalanced by date, which splits a large day over several files, and sorted within
+    each file; there is no order across files.
     """
     path = f"{folder.rstrip('/')}/{name}"
     date = DATE_COLUMNS.get(name)
     rows = frame.hint("rebalance", date) if date else frame
+    order = [c for c in (date, *ORDER.get(name, ())) if c in frame.columns]
+    rows = rows.sortWithinPartitions(*order) if order else rows
     writer = rows.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.options(**CSV_OUTPUT)
@@ -54,10 +68,6 @@ def store_events(events: DataFrame, path: str) -> DataFrame:
     return stored.select(events.columns)
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
-    return {name: write_table(frame, folder, name, fmt) for name, frame in tables.items()}
-
-
 def row_counts(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, int]:
     """Rows per written table, from file footers."""
     return {name: spark.read.parquet(path).count() for name, path in paths.items()}

@@ -114,7 +114,7 @@ def test_transformation_writes_and_reconciles(spark, folder, tmp_path_factory, f
     assert rows(out["user_journeys"], "client_id", "total_sessions", "channel_path") == [
         ("a", 2, "Paid Search > Direct"), ("c", 1, "Direct")]
     checks = {r.check_name: r for r in out["reconciliation"].collect()}
-    assert all(r.passed for r in checks.values()) and len(checks) == 6
+    assert all(r.passed for r in checks.values()) and len(checks) == 7
     assert (checks["event_count"].original, checks["event_count"].transformed) == (7.0, 6.0)
     assert (checks["revenue_total"].original, checks["revenue_total"].transformed) == (25.0, 15.0)
     if fmt == "parquet":
@@ -141,3 +141,54 @@ def test_stored_chunks_can_be_numbered_again(spark, folder):
     raw, _ = read_daily_files(spark, str(folder), CFG)
     d = Derived(raw, CFG)
     assert rows(se.sessions(d.events, CFG), "session_id") == rows(d.sessions, "session_id")
+
+
+def test_nothing_is_lost_at_the_door(spark, tmp_path):
+    """Part files of one day with different headers, a line break in a cell, a bad time, a missing client."""
+    at = "2025-03-01T10:00:00.000Z"
+    day = tmp_path / "in" / "events_20250301.csv"
+    broken = sale("t1", 5)
+    broken["event_data"] = broken["event_data"].replace(", ", ",\n", 1)
+    write_day(day / "part-0.csv", FULL, [
+        {"client_id": "a", "referrer": "https://bing.com/", "timestamp": at, "event_name": "page_viewed"},
+        {"client_id": "b", "timestamp": "yesterday", "event_name": "page_viewed"},
+        {"client_id": "", "timestamp": at, "event_name": "page_viewed"},
+    ])
+    write_day(day / "part-1.csv", BARE, [
+        {"clientId": "c", "timestamp": at, "event_name": "page_viewed"},
+        {**broken, "clientId": "d", "timestamp": at},
+    ])
+    source = str(tmp_path / "in")
+    events, headers = read_daily_files(spark, source, CFG)
+    assert set(headers.first()["columns"]) == set(BARE) & set(FULL)
+    by_client = {r.client_id: r for r in events.filter("corrupt_record IS NULL").collect()}
+    assert by_client["c"].timestamp == at and by_client["c"].event_name == "page_viewed"
+
+    tables = run_transformation(spark, source, str(tmp_path / "out"), CFG)
+    assert rows(tables["rejects"], "reason") == [("malformed_row",), ("malformed_row",), ("unreadable_time",)]
+    checks = {r.check_name: r for r in tables["reconciliation"].collect()}
+    accounted = checks["rows_accounted_for"]
+    assert accounted.passed and (accounted.original, accounted.transformed, accounted.note) == (6, 6, 3)
+
+    whole = run_transformation(spark, source, str(tmp_path / "whole"), Config(multi_line=True))
+    assert rows(whole["rejects"], "reason") == [("unreadable_time",)]
+    assert whole["conversions"].first()["revenue"] == 5.0 and whole["sessions"].count() == 3
+
+
+def test_rows_are_sorted_within_a_date(spark, folder, tmp_path):
+    run_transformation(spark, str(folder), str(tmp_path / "sorted"), CFG, fmt="csv")
+    for part in (tmp_path / "sorted" / "events_enriched").rglob("part-*.csv"):
+        with part.open(newline="") as lines:
+            clients = [line["client_id"] for line in csv.DictReader(lines)]
+        assert clients == sorted(clients)
+
+
+def test_lost_chunks_fail_the_check(spark, folder, tmp_path):
+    from clickloom.operators.reconcile import reconciliation
+
+    events, _ = read_daily_files(spark, str(folder), CFG)
+    d = Derived(store_events(events, str(tmp_path / "raw")), CFG)
+    lost = d.chunks.filter("client_id <> 'b'")
+    enriched = se.assign_sessions(d.events, lost, CFG)
+    checks = reconciliation(d.raw, enriched, d.sessions, d.conversions, d.attribution, CFG)
+    assert {r.check_name: r.passed for r in checks.collect()}["events_sessionized"] is False
