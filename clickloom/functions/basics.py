@@ -38,9 +38,27 @@ def count_if(test: Column) -> Column:
     return F.coalesce(F.sum(flag(test)), F.lit(0))
 
 
+def decimal_part(money: Column) -> Column:
+    """Money as a decimal, null where it is not finite or beyond 1e22."""
+    return money.try_cast("decimal(28,6)")
+
+
+def other_part(money: Column) -> Column:
+    """What `decimal_part` leaves out: values beyond it, infinities, NaN."""
+    return F.when(decimal_part(money).isNull(), money)
+
+
+def whole_sum(decimals: Column, others: Column) -> Column:
+    """Both parts of a sum as one double."""
+    return F.coalesce(decimals.cast("double"), F.lit(0.0)) + F.coalesce(others, F.lit(0.0))
+
+
 def exact_sum(money: Column) -> Column:
-    """Sum of a double column that does not depend on the order of its rows."""
-    return F.coalesce(F.sum(money.try_cast("decimal(18,6)")).cast("double"), F.lit(0.0))
+    """Sum of a double column that does not depend on the order of its rows.
+
+    Decimals add exactly; only values that no decimal holds are added as doubles.
+    """
+    return whole_sum(F.sum(decimal_part(money)), F.sum(other_part(money)))
 
 
 def micros(ts: Column) -> Column:
@@ -67,4 +85,5 @@ def last_items(items: Column, n: int) -> Column:
 
 
 def numbered_id(prefix: Column, number: Column) -> Column:
-    return F.concat_ws("_", prefix, number.cast("string"))
+    """`prefix_number`, null when either is missing."""
+    return F.concat(prefix, F.lit("_"), number.cast("string"))

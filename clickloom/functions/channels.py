@@ -55,6 +55,11 @@ CASE WHEN _gclid THEN 'Paid Search'
 _HELPERS = ("_query", "_host", "_gclid", "_fbclid", "_source", "_medium", "_campaign")
 
 
+def _quoted(text: str) -> str:
+    """Text as it stands between the quotes of an SQL literal."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def marketing_channel(source: str, medium: str, cfg: Config) -> Column:
     """Channel from two column names, case-insensitive."""
     words = {"source": f"lower({source})", "medium": f"lower({medium})"}
@@ -84,7 +89,7 @@ def _with_parts(events: DataFrame) -> DataFrame:
 
 def with_traffic_source(events: DataFrame, cfg: Config) -> DataFrame:
     """Add the four `TRAFFIC_COLUMNS` derived from `page_url` and `referrer`."""
-    staged = _with_parts(events).withColumn("_touch", F.expr(_TOUCH.format(own=cfg.own_domain)))
+    staged = _with_parts(events).withColumn("_touch", F.expr(_TOUCH.format(own=_quoted(cfg.own_domain))))
     return staged.withColumns(
         {
             "traffic_source": F.col("_touch.source"),
@@ -97,5 +102,5 @@ def with_traffic_source(events: DataFrame, cfg: Config) -> DataFrame:
 
 def with_monitor_channel(events: DataFrame, cfg: Config) -> DataFrame:
     """Add `monitor_channel`, the classification used by the daily alerts."""
-    channel = F.expr(_MONITOR.format(own=cfg.own_domain))
+    channel = F.expr(_MONITOR.format(own=_quoted(cfg.own_domain)))
     return _with_parts(events).withColumn("monitor_channel", channel).drop(*_HELPERS)

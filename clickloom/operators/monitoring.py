@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.config import Config
-from clickloom.functions.basics import count_if, exact_sum, flag, is_blank, numbered_id, ratio
+from clickloom.functions.basics import (
+    count_if, decimal_part, exact_sum, flag, is_blank, numbered_id, other_part, ratio, whole_sum,
+)
 from clickloom.functions.channels import with_monitor_channel
 from clickloom.functions.payload import with_payload
 
@@ -102,11 +104,13 @@ def surplus_duplicates(conversions: DataFrame) -> DataFrame:
 def daily_conversion_totals(conversions: DataFrame) -> DataFrame:
     """Conversions, revenue and surplus duplicates per day from one grouping by id."""
     per_id = conversions.groupBy("source_file", "transaction_id").agg(
-        F.count("*").alias("n"), F.sum(F.col("revenue").try_cast("decimal(18,6)")).alias("total")
+        F.count("*").alias("n"),
+        F.sum(decimal_part(F.col("revenue"))).alias("decimals"),
+        F.sum(other_part(F.col("revenue"))).alias("others"),
     )
     return per_id.groupBy("source_file").agg(
         F.sum("n").alias("conversions"),
-        F.coalesce(F.sum("total").cast("double"), F.lit(0.0)).alias("revenue"),
+        whole_sum(F.sum("decimals"), F.sum("others")).alias("revenue"),
         F.sum(F.col("n") - 1).alias("duplicates"),
     )
 

@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     # Generated methods above this size are never compiled by the JVM, so stages with long
     # CASE chains run faster when their expressions are generated apart.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A repeated key in a payload is no fault: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 SETTINGS = {
     **RUNTIME_SETTINGS,

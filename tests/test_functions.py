@@ -192,3 +192,40 @@ def test_days_are_whole_periods(spark):
 def test_last_items(spark):
     frame = spark.createDataFrame([([1, 2],), (list(range(7)),)], "a array<int>")
     assert [r[0] for r in frame.select(basics.last_items(F.col("a"), 5)).collect()] == [[1, 2], [2, 3, 4, 5, 6]]
+
+
+def test_repeated_keys_count_with_their_last_value(spark):
+    texts = [
+        '{"transaction_id":"t","revenue":5,"revenue":7,"items":[{"x":1,"x":2}],"user_email":"a"}',
+        '{"transaction_id":"s","transaction_id":"t","revenue":5,"items":[{"item_price":null,"item_price":2},{"item_price":1,"item_price":null}],"user_email":"a"}',
+        '{"a":1,"a":2}',
+        '{"a":[1],"a":[2]}',
+    ]
+    from clickloom.functions.payload import is_json, with_payload
+
+    frame = spark.createDataFrame([(t, "checkout_completed") for t in texts], "event_data string, event_name string")
+    got = with_payload(frame, Config()).select("payload.*", is_json(F.col("event_data")).alias("valid")).collect()
+    assert [r.valid for r in got] == [True] * 4 and all(r.is_object for r in got)
+    assert [(r.transaction_id, r.revenue, r.item_count, r.null_item_prices) for r in got[:2]] == [("t", 7.0, 1, 1), ("t", 5.0, 2, 1)]
+
+
+def test_sums_keep_every_value(spark):
+    import math
+
+    from clickloom.functions.basics import exact_sum
+
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum(F.col("v"))).first()[0]
+
+    assert total(1e13, 5.0, 0.1) == 10000000000005.1
+    assert total(None, None) == 0.0 and total(0.1, 0.2) == 0.3
+    assert math.isnan(total(1e12, float("nan"))) and total(1.0, float("inf")) == float("inf")
+    assert total(1e25, 1.0) == 1e25
+
+
+def test_own_domain_is_no_sql(spark):
+    from clickloom.functions.channels import with_monitor_channel, with_traffic_source
+
+    cfg = Config(own_domain="it's\\own")
+    frame = spark.createDataFrame([("https://x/", "https://it's\\own/a")], "page_url string, referrer string")
+    assert with_traffic_source(frame, cfg).count() == with_monitor_channel(frame, cfg).count() == 1
