@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.config import Config
 from clickloom.functions.basics import exact_sum, floor_div, micros, whole_days
-from clickloom.functions.skew import salted_lookup
 
 _PARTS = ("source", "medium", "campaign", "channel")
 
@@ -48,9 +47,8 @@ def lookback_touchpoints(conversions: DataFrame, sessions: DataFrame, cfg: Confi
     # sides of this join are partitioned by client already or small.
     buyers = conversions.select("client_id").distinct()
     windows = touch_windows(sessions.join(buyers, "client_id", "left_semi"), cfg)
-    found = salted_lookup(
-        located, windows, ("client_id", "bucket"), ("ingest_order",), cfg.join_salts
-    )
+    # One row of `windows` at most for each key; a client's many conversions are split by Spark.
+    found = located.join(windows, ["client_id", "bucket"], "left")
     in_window = F.filter(
         F.col("touches"),
         lambda t: (t["start_us"] >= F.col("_at") - F.lit(cfg.lookback_us))
@@ -122,13 +120,17 @@ def linear_attribution(conversions: DataFrame, sessions: DataFrame, cfg: Config)
     channels = F.when(F.size("touches") == 0, F.array(F.lit("Direct"))).otherwise(
         F.transform("touches", lambda t: t["channel"])
     )
-    weighted = found.select(
+    touched = found.select(
         F.to_date("conversion_timestamp").alias("date"),
         F.explode(channels).alias("channel"),
-        (F.lit(1.0) / shares).alias("weight"),
-        (F.col("revenue") / shares).alias("share"),
+        shares.alias("shares"),
+        "revenue",
     ).filter(F.col("date").isNotNull())
-    return weighted.groupBy("date", "channel").agg(
-        exact_sum(F.col("weight")).alias("conversions"),
-        exact_sum(F.col("share")).alias("revenue"),
+    # Conversions of equally many touches are added up before they are divided, so no row is rounded.
+    alike = touched.groupBy("date", "channel", "shares").agg(
+        F.count("*").alias("n"), exact_sum(F.col("revenue")).alias("total")
+    )
+    return alike.groupBy("date", "channel").agg(
+        F.sum(F.col("n") / F.col("shares")).alias("conversions"),
+        F.sum(F.col("total") / F.col("shares")).alias("revenue"),
     )

@@ -10,6 +10,8 @@ single row, and the checks, verdicts and trends work on that small table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -19,7 +21,6 @@ from clickloom.functions.basics import (
     count_if, exact_sum, flag, is_blank, not_in, passes, ratio,
 )
 from clickloom.functions.payload import is_json, with_payload
-from clickloom.functions.skew import salted_lookup
 from clickloom.operators.cleaning import file_date
 from clickloom.operators.conversions import transactions
 
@@ -58,18 +59,34 @@ def violations(events: DataFrame, check: str, cfg: Config) -> DataFrame:
 def samples(events: DataFrame, check: str, column: str, cfg: Config) -> DataFrame:
     """The first few offending values of each file, in input order.
 
-    A ranked limit per file, which Spark applies before the shuffle as well.
+    A ranked limit per file, which Spark applies before the shuffle as well. Payloads are long,
+    so of them fewer are shown and only their beginnings.
     """
+    payload = check == "bad_json"
+    size = cfg.quality.payload_sample_size if payload else cfg.quality.sample_size
+    value = F.left(F.col(column), F.lit(100)) if payload else F.col(column)
     first = Window.partitionBy("source_file").orderBy("ingest_order")
     return (
         violations(events, check, cfg)
-        .select("source_file", "ingest_order", F.left(F.col(column), F.lit(100)).alias("value"))
+        .select("source_file", "ingest_order", value.alias("value"))
         .withColumn("place", F.row_number().over(first))
-        .filter(F.col("place") <= cfg.quality.sample_size)
+        .filter(F.col("place") <= size)
         .select("source_file", "place", "value")
     )
 
 
+def all_samples(events: DataFrame, cfg: Config) -> DataFrame:
+    """Samples of every check that looks at values."""
+    columns = {
+        "timestamp_format": ("bad_timestamps", "timestamp"),
+        "timestamp_partition": ("wrong_dates", "timestamp"),
+        "url_domain": ("bad_urls", "page_url"),
+        "event_data_json": ("bad_json", "event_data"),
+    }
+    parts = [samples(events, test, c, cfg).withColumn("check_name", F.lit(name)) for name, (test, c) in columns.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def invalid_event_names(events: DataFrame, cfg: Config) -> DataFrame:
     """Distinct names outside the allowed set, per file."""
     return (
@@ -137,13 +154,8 @@ def cross_file_duplicates(events: DataFrame, cfg: Config) -> DataFrame:
 
 def duplicate_occurrences(events: DataFrame, cfg: Config) -> DataFrame:
     """Every occurrence of a duplicated id as a row of its own, so that no list can grow."""
-    return salted_lookup(
-        transactions(events, cfg).filter("has_transaction"),
-        cross_file_duplicates(events, cfg),
-        ("transaction_id",),
-        ("ingest_order",),
-        cfg.join_salts,
-        how="inner",
+    return transactions(events, cfg).filter("has_transaction").join(
+        cross_file_duplicates(events, cfg), "transaction_id"
     ).select("transaction_id", "occurrences", "source_file", "revenue", "timestamp")
 
 
@@ -399,8 +411,7 @@ def null_rate_vs_history(daily: DataFrame, cfg: Config) -> DataFrame:
 
 def quarantine_split(events: DataFrame, verdicts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Events of files that passed, and events of files that did not."""
-    # One row per daily file at most, so the large side never moves.
-    failed = F.broadcast(verdicts.filter(~F.col("passed")).select("source_file"))
+    failed = verdicts.filter(~F.col("passed")).select("source_file")
     return (
         events.join(failed, "source_file", "left_anti"),
         events.join(failed, "source_file", "left_semi"),

@@ -197,7 +197,7 @@ attributed AS MATERIALIZED (
 
 _SUMMARY = """summary AS MATERIALIZED (
   SELECT conversion_date AS date, channel, count(transaction_id) AS conversions,
-    CAST(sum(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE) AS revenue, attribution_model
+    CAST(sum(CAST(revenue AS DECIMAL(28,6))) AS DOUBLE) AS revenue, attribution_model
   FROM (SELECT *, first_click_channel AS channel, 'first_click' AS attribution_model FROM attributed
         UNION ALL SELECT *, last_click_channel, 'last_click' FROM attributed)
   WHERE conversion_date IS NOT NULL GROUP BY conversion_date, channel, attribution_model)"""
@@ -239,7 +239,7 @@ paid_counts AS (
     count(*) FILTER (WHERE rev_given AND rev < 0) AS negative_revenue, count(*) FILTER (WHERE is_object AND NOT has_tid) AS missing_transaction_id,
     CAST(coalesce(sum(unpriced) FILTER (is_object AND (NOT rev_given OR rev IS NOT NULL)), 0) AS BIGINT) AS null_item_prices,
     count(*) FILTER (WHERE NOT is_object OR (rev_given AND rev IS NULL) OR icount IS NULL) AS unreadable_payloads,
-    CAST(coalesce(sum(CAST(rev AS DECIMAL(18,6))) FILTER (event_name = 'checkout_completed'), 0) AS DOUBLE) AS revenue
+    CAST(coalesce(sum(CAST(rev AS DECIMAL(28,6))) FILTER (event_name = 'checkout_completed'), 0) AS DOUBLE) AS revenue
   FROM paid GROUP BY source_file),
 dup AS (
   SELECT source_file, tid AS transaction_id, count(*) AS occurrences FROM paid WHERE has_tid
@@ -319,7 +319,7 @@ shares AS MATERIALIZED (
   FROM visits GROUP BY source_file, marketing_channel),
 history AS MATERIALIZED (
   SELECT r.source_file, count(*) AS events, count(*) FILTER (WHERE r.event_name = 'checkout_completed') AS conversions,
-    CAST(coalesce(sum(CAST(p.rev AS DECIMAL(18,6))) FILTER (r.event_name = 'checkout_completed'), 0) AS DOUBLE) AS revenue
+    CAST(coalesce(sum(CAST(p.rev AS DECIMAL(28,6))) FILTER (r.event_name = 'checkout_completed'), 0) AS DOUBLE) AS revenue
   FROM raw r LEFT JOIN paid p ON p.event_id = r.event_id GROUP BY r.source_file),
 metrics AS MATERIALIZED (
   SELECT source_file, 'events' AS metric, events::DOUBLE AS value FROM history
@@ -339,7 +339,7 @@ days AS MATERIALIZED (
     (SELECT mean FROM baseline WHERE metric = 'aov') AS aov_mean, (SELECT std FROM baseline WHERE metric = 'aov') AS aov_std
   FROM (SELECT source_file, count(*) AS events, avg(CASE WHEN client_id IS NULL OR client_id = '' THEN 1.0 ELSE 0.0 END) AS null_client_rate,
           coalesce(bool_or(referrer <> ''), false) AS has_referrer_data FROM raw GROUP BY source_file) e
-  LEFT JOIN (SELECT source_file, count(*) AS n, CAST(sum(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE) AS total,
+  LEFT JOIN (SELECT source_file, count(*) AS n, CAST(sum(CAST(revenue AS DECIMAL(28,6))) AS DOUBLE) AS total,
           count(*) - count(DISTINCT transaction_id) - max(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END) AS surplus
         FROM bought GROUP BY source_file) b ON b.source_file = e.source_file
   LEFT JOIN (SELECT source_file, avg(has_add_to_cart::INT) AS cart, avg(has_checkout_started::INT) AS checkout,
@@ -395,7 +395,7 @@ def _pct(part: str, whole: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    money = "CAST(sum(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE)"
+    money = "CAST(sum(CAST(revenue AS DECIMAL(28,6))) AS DOUBLE)"
     sql = {
         "ingest_daily_files": _with([_raw()], f"""SELECT source_file,
   CASE WHEN CAST(substr(source_file, 14, 2) AS INT) >= 26 THEN '' WHEN referrer <> '' THEN referrer END AS referrer,
@@ -440,8 +440,7 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
         "attribution": _with(_ATTR_CHAIN, f"""SELECT * EXCLUDE (event_id, ets, conversion_date), {_show('ets')} AS conversion_timestamp,
   CAST(conversion_date AS VARCHAR) AS conversion_date FROM attributed"""),
         "linear_attribution": _with(_ATTR_CHAIN, """SELECT CAST(CAST(ets AS DATE) AS VARCHAR) AS date, channel,
-  CAST(sum(CAST(1::DOUBLE / n AS DECIMAL(18,6))) AS DOUBLE) AS conversions,
-  CAST(sum(CAST(revenue / n AS DECIMAL(18,6))) AS DOUBLE) AS revenue
+  round(sum(1::DOUBLE / n), 6) AS conversions, round(sum(revenue / n), 6) AS revenue
   FROM (SELECT ets, revenue, coalesce(marketing_channel, 'Direct') AS channel, count(*) OVER (PARTITION BY event_id) AS n FROM touched)
   WHERE ets IS NOT NULL GROUP BY CAST(ets AS DATE), channel"""),
         "channel_summary": _with([*_ATTR_CHAIN, _SUMMARY], """SELECT CAST(date AS VARCHAR) AS date, channel, conversions, revenue,
@@ -454,11 +453,13 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   CAST(floor((epoch_us(c.ets) - epoch_us(f.start)) / 86400000000.0) AS BIGINT) AS days_from_first_visit, c.revenue
   FROM conv c JOIN (SELECT client_id, min(session_start) AS start FROM sess GROUP BY client_id) f ON f.client_id = c.client_id
   WHERE c.ets IS NOT NULL"""),
-        "reconciliation": _with([*_CONV_CHAIN, f"""f AS (SELECT (SELECT count(*) FROM raw) AS raw_n, (SELECT count(*) FROM enriched) AS n,
+        "reconciliation": _with([*_CONV_CHAIN, f"""f AS (SELECT (SELECT count(*) FROM raw) AS raw_n,
+  (SELECT count(*) FROM timed WHERE timestamp IS NOT NULL AND ets IS NULL) AS rejected,
+  (SELECT count(*) FROM timed WHERE (timestamp IS NULL OR ets IS NOT NULL) AND coalesce(client_id, '') = '') AS nobody, (SELECT count(*) FROM enriched) AS n,
   (SELECT count(session_id) FROM enriched) AS placed, (SELECT count(DISTINCT client_id) FROM enriched) AS clients,
   (SELECT count(*) FROM raw WHERE event_name = 'checkout_completed') AS raw_bought, (SELECT count(*) FROM conv) AS orders,
   (SELECT {money} FROM conv) AS revenue, (SELECT count(*) FROM sess) AS visits,
-  (SELECT CAST(sum(TRY_CAST(json_extract_string(j, '$.revenue') AS DECIMAL(18,6))) AS DOUBLE) FROM
+  (SELECT CAST(sum(TRY_CAST(json_extract_string(j, '$.revenue') AS DECIMAL(28,6))) AS DOUBLE) FROM
      (SELECT CASE WHEN json_valid(event_data) THEN event_data::JSON END AS j FROM raw WHERE event_name = 'checkout_completed')
    WHERE json_type(j) = 'OBJECT') AS raw_revenue)"""],
   """SELECT check_number, check_name, round(original::DOUBLE, 4) AS original, round(transformed::DOUBLE, 4) AS transformed,
@@ -468,7 +469,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   UNION ALL SELECT 3, 'conversion_count', raw_bought, orders, raw_bought - orders, orders <= raw_bought FROM f
   UNION ALL SELECT 4, 'revenue_total', raw_revenue, revenue, round(raw_revenue - revenue, 2), true FROM f
   UNION ALL SELECT 5, 'attribution_coverage', orders, orders, 100.0, true FROM f
-  UNION ALL SELECT 6, 'sessions_per_client', clients, visits, round(visits / clients, 4), visits >= clients FROM f)"""),
+  UNION ALL SELECT 6, 'sessions_per_client', clients, visits, round(visits / clients, 4), visits >= clients FROM f
+  UNION ALL SELECT 7, 'rows_accounted_for', raw_n, n + nobody + rejected, rejected, raw_n = n + nobody + rejected FROM f)"""),
         # data quality
         "daily_metrics": _with(_DQ_CHAIN, "SELECT * REPLACE (round(null_client_rate, 6) AS null_client_rate) FROM daily"),
         "duplicate_transactions": _with(_DQ_CHAIN, "SELECT * FROM dup"),
@@ -484,10 +486,17 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   missing_transaction_id, null_item_prices, unreadable_payloads FROM profile"""),
         "invalid_event_names": _with(_DQ_CHAIN, "SELECT source_file, event_name, count(*) AS events FROM flags WHERE bad_event GROUP BY source_file, event_name"),
         "offending_samples": _with(_DQ_CHAIN, " UNION ALL ".join(
-            f"""SELECT source_file, CAST(place AS INTEGER) AS place, left(v, 100) AS value, '{check}' AS check_name FROM (
+            f"""SELECT source_file, CAST(place AS INTEGER) AS place, left(v, {length}) AS value, '{check}' AS check_name FROM (
   SELECT source_file, {column} AS v, row_number() OVER (PARTITION BY source_file ORDER BY event_id) AS place FROM flags WHERE {test})
-  WHERE place <= {_Q.sample_size}""" for column, test, check in
-            (("timestamp", "bad_time", "timestamp_format"), ("page_url", "bad_url", "url_domain")))),
+  WHERE place <= {size}""" for column, test, check, size, length in
+            (("timestamp", "bad_time", "timestamp_format", _Q.sample_size, 9999), ("page_url", "bad_url", "url_domain", _Q.sample_size, 9999),
+             ("timestamp", "wrong_date", "timestamp_partition", _Q.sample_size, 9999),
+             ("event_data", "bad_json", "event_data_json", _Q.payload_sample_size, 100)))),
+        "rejects": _with([_raw(), _TIMED], """SELECT event_id, source_file, timestamp, 'unreadable_time' AS reason FROM timed
+  WHERE timestamp IS NOT NULL AND ets IS NULL"""),
+        "file_headers": _with([_raw()], """SELECT source_file, CASE WHEN day < 10 THEN 'client_id,page_url,referrer' WHEN day < 26 THEN 'clientId,page_url,referrer'
+  ELSE 'clientId,page_url' END || ',timestamp,event_name,event_data,user_agent' AS columns
+  FROM (SELECT DISTINCT source_file, CAST(substr(source_file, 14, 2) AS INT) AS day FROM raw)"""),
         "dq_results": _with(_DQ_CHAIN, _RESULT_COLUMNS),
         "dq_file_verdict": _with(_DQ_CHAIN, "SELECT * FROM verdicts"),
         "dq_batch_totals": _with(_DQ_CHAIN, """SELECT count(*) AS files, CAST(count(*) FILTER (WHERE passed) AS BIGINT) AS passed_files,
@@ -549,8 +558,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   round({money} / (SELECT {money} FROM attributed) * 100, 4) AS revenue_pct FROM attributed GROUP BY last_click_channel"""),
         "attribution_shift": _with([*_ATTR_CHAIN, _SUMMARY], """SELECT channel, f AS first_click_revenue, l AS last_click_revenue,
   CASE WHEN f <> 0 THEN round((l / f - 1) * 100, 4) END AS change_pct FROM (SELECT channel,
-  CAST(coalesce(sum(CAST(revenue AS DECIMAL(18,6))) FILTER (attribution_model = 'first_click'), 0) AS DOUBLE) AS f,
-  CAST(coalesce(sum(CAST(revenue AS DECIMAL(18,6))) FILTER (attribution_model = 'last_click'), 0) AS DOUBLE) AS l FROM summary GROUP BY channel)"""),
+  CAST(coalesce(sum(CAST(revenue AS DECIMAL(28,6))) FILTER (attribution_model = 'first_click'), 0) AS DOUBLE) AS f,
+  CAST(coalesce(sum(CAST(revenue AS DECIMAL(28,6))) FILTER (attribution_model = 'last_click'), 0) AS DOUBLE) AS l FROM summary GROUP BY channel)"""),
         "funnel_report": _with([*_SESSION_CHAIN, """steps AS (
   SELECT 1 AS step_number, 'sessions' AS step, count(*) AS sessions FROM sess
   UNION ALL SELECT 2, 'add_to_cart', count(*) FILTER (WHERE has_add_to_cart) FROM sess
@@ -566,7 +575,7 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
         "weekend_conversion": _with(_SESSION_CHAIN, f"""SELECT CASE WHEN isodow(session_date) >= 6 THEN 'weekend' ELSE 'weekday' END AS day_kind,
   count(*) AS sessions, CAST(count(*) FILTER (WHERE has_purchase) AS BIGINT) AS conversions, {_pct('count(*) FILTER (WHERE has_purchase)', 'count(*)')} AS conversion_rate_pct
   FROM sess WHERE session_date IS NOT NULL GROUP BY 1"""),
-        "duplicate_revenue": _with([*_CONV_CHAIN, """every AS (SELECT CAST(sum(TRY_CAST(json_extract_string(j, '$.revenue') AS DECIMAL(18,6))) AS DOUBLE) AS r
+        "duplicate_revenue": _with([*_CONV_CHAIN, """every AS (SELECT CAST(sum(TRY_CAST(json_extract_string(j, '$.revenue') AS DECIMAL(28,6))) AS DOUBLE) AS r
   FROM (SELECT CASE WHEN json_valid(event_data) THEN event_data::JSON END AS j FROM raw WHERE event_name = 'checkout_completed')
   WHERE json_type(j) = 'OBJECT')"""], f"""SELECT r AS raw_revenue, k AS deduplicated_revenue, round(r - k, 2) AS overstated
   FROM every, (SELECT {money} AS k FROM conv)"""),

@@ -126,7 +126,18 @@ def ingest_daily_files(spark: SparkSession, folder: str) -> DataFrame:
         cells = part.drop("ingest_order", "event_id")
         cells.write.mode("append").partitionBy("source_file").options(**CSV_OUTPUT).csv(path)
     events, _ = read_daily_files(spark, path, CFG)
-    return events.drop("ingest_order")
+    return events.drop("ingest_order", cl.CORRUPT)
+
+
+@query
+def file_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """The headers that the files of each day really have, read back from what was written."""
+    path = f"{shared_folder(spark)}/daily-{uuid4().hex}"
+    for part in _header_variants(_raw(spark, folder)):
+        cells = part.drop("ingest_order", "event_id")
+        cells.write.mode("append").partitionBy("source_file").options(**CSV_OUTPUT).csv(path)
+    _, headers = read_daily_files(spark, path, CFG)
+    return headers.select("source_file", F.array_join("columns", ",").alias("columns"))
 
 
 @query
@@ -148,6 +159,12 @@ def parse_event_time(spark: SparkSession, folder: str) -> DataFrame:
     return _show_times(both.select("event_id", "timestamp", "event_timestamp", "event_date", "readable"))
 
 
+@query
+def rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that no table takes in, and why."""
+    return cl.rejects(_raw(spark, folder), CFG).select("event_id", "source_file", "timestamp", "reason")
+
+
 @query
 def drop_null_clients(spark: SparkSession, folder: str) -> DataFrame:
     return cl.drop_null_clients(_raw(spark, folder)).select("event_id", "client_id")
@@ -287,7 +304,7 @@ def attribution(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def linear_attribution(spark: SparkSession, folder: str) -> DataFrame:
     d = _derived(spark, folder)
-    return _show_times(at.linear_attribution(d.purchases, d.sessions, CFG))
+    return _show_times(_rounded(at.linear_attribution(d.purchases, d.sessions, CFG), "conversions", "revenue"))
 
 
 @query
@@ -372,11 +389,8 @@ def invalid_event_names(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def offending_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """The first offending timestamps and URLs of each file."""
-    raw = _raw(spark, folder)
-    times = qu.samples(raw, "bad_timestamps", "timestamp", CFG).withColumn("check_name", F.lit("timestamp_format"))
-    urls = qu.samples(raw, "bad_urls", "page_url", CFG).withColumn("check_name", F.lit("url_domain"))
-    return times.unionByName(urls)
+    """The first offending values of each file and check."""
+    return qu.all_samples(_raw(spark, folder), CFG)
 
 
 @query
