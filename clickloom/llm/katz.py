@@ -32,8 +32,9 @@ from clickloom.llm.common import saved
 
 K = 5
 KNOWN = 1 << 20  # bound of the table of frequent words that every task has
-FLUSH = 4_000_000  # tokens a task gathers before it sends them on
-ENTRIES, LEAST_PARTITIONS = 4_000_000, 32  # tokens aimed at in a partition, and partitions at least
+FLUSH = 2_000_000  # tokens a task gathers before it sends them on
+DISTINCT = 200_000  # words a task counts before it sends the counts on
+ENTRIES, LEAST_PARTITIONS = 2_250_000, 48  # training tokens aimed at in a partition, and partitions at least
 SPREAD = 8
 _RARE = np.uint64(1 << 63)
 START, END = b" start", b" end"  # no word holds a blank
@@ -248,22 +249,25 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not held:
                 counts.update(words(text))
                 counts[END] += 1
-        if len(counts) > FLUSH // 4:
+        if len(counts) > DISTINCT:
             yield out(counts)
             counts = Counter()
     if counts:
         yield out(counts)
 
 
-def _entries(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[Entries]:
-    """Entries of a task's documents, a few million tokens at a time; counts of rare words are 0 so far."""
+def _entries(batches: Iterator[pa.RecordBatch], known: Known, rare: bool) -> Iterator[Entries]:
+    """Entries of a task's documents whose words are rare, or else those whose words are not, a few million tokens at a time.
+
+    Counts of rare words are 0 so far.
+    """
 
     def flush() -> Entries:
         digests = np.fromiter(map(_digest, table), np.uint64, len(table))
         codes, size = known.codes(digests), len(table)
         tokens = np.concatenate(texts)
         doc = np.repeat(np.arange(len(texts)), [t.size for t in texts])
-        inner = doc[1:] == doc[:-1]
+        inner = (doc[1:] == doc[:-1]) & ((codes >= _RARE) == rare)[tokens[1:]]
         key = (doc[1:][inner] * size + tokens[:-1][inner]) * size + tokens[1:][inner]
         key, times = np.unique(key, return_counts=True)
         word, before, doc = codes[key % size], codes[key // size % size], key // (size * size)
@@ -352,8 +356,8 @@ def _table(make: Callable, known, others: tuple = ()) -> Callable:
 
 
 def _send(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.RecordBatch]:
-    for entries in _entries(batches, known):
-        yield from _parcel_batches(known.parcels(entries.take(entries.word < _RARE)))
+    for entries in _entries(batches, known, rare=False):
+        yield from _parcel_batches(known.parcels(entries))
 
 
 _RARE_ROWS = "digest long, before long, times long, key long, id long, named boolean, held boolean"
@@ -361,8 +365,7 @@ _RARE_ROWS = "digest long, before long, times long, key long, id long, named boo
 
 def _rare_rows(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.RecordBatch]:
     names = ["digest", "before", "times", "key", "id", "named", "held"]
-    for entries in _entries(batches, known):
-        e = entries.take(entries.word >= _RARE)
+    for e in _entries(batches, known, rare=True):
         values = [(e.word ^ _RARE).view(np.int64), e.before.view(np.int64), e.times, *(e.docs[n][e.doc] for n in names[3:])]
         yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], names)
 
