@@ -448,10 +448,10 @@ def scores(docs: DataFrame, held: str, id_column: str = "doc_id", text_column: s
     least, known_types = 64, 0
     while least > 0 and known_types + bins.get(least - 1, 0) <= KNOWN:
         least, known_types = least - 1, known_types + bins.get(least - 1, 0)
-    frequent = counts.filter(F.col("n") >= F.lit(2**least if least < 63 else 2**63 - 1)).toPandas().sort_values("digest")
+    frequent = counts.filter(F.col("n") >= F.lit(2**least if least < 63 else 2**63 - 1)).toArrow().sort_by("digest")  # KNOWN rows at most
     partitions = max(LEAST_PARTITIONS, math.ceil(seen["tokens"] / ENTRIES))
-    number = frequent["n"].to_numpy(np.int64)
-    known = Known(frequent["digest"].to_numpy(np.int64).astype(np.uint64), number, number * partitions * SPREAD >= seen["tokens"], partitions)
+    number = frequent["n"].to_numpy()
+    known = Known(frequent["digest"].to_numpy().astype(np.uint64), number, number * partitions * SPREAD >= seen["tokens"], partitions)
     sent = spark.sparkContext.broadcast(known)
 
     kind = "r int, data binary"
