@@ -32,9 +32,9 @@ from clickloom.llm.common import saved
 
 K = 5
 KNOWN = 1 << 20  # bound of the table of frequent words that every task has
-FLUSH = 2_000_000  # tokens a task gathers before it sends them on
+FLUSH = 1_000_000  # tokens a task gathers before it sends them on
 DISTINCT = 200_000  # words a task counts before it sends the counts on
-ENTRIES, LEAST_PARTITIONS = 2_250_000, 48  # training tokens aimed at in a partition, and partitions at least
+ENTRIES, LEAST_PARTITIONS = 1_000_000, 64  # training tokens aimed at in a partition, and partitions at least
 SPREAD = 8
 _RARE = np.uint64(1 << 63)
 START, END = b" start", b" end"  # no word holds a blank
@@ -301,12 +301,13 @@ def _grouped(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[tuple[
     for batch in batches:
         for r, data in zip(batch.column("r").to_pylist(), batch.column("data"), strict=True):
             if r != at and parts:
-                yield at, Entries.joined(parts)
-                parts = []
+                whole, parts = Entries.joined(parts), []  # the parts are let go before the whole is used
+                yield at, whole
             at = r
             parts.append(Entries.unpacked(data.as_py(), known.counts))
     if parts:
-        yield at, Entries.joined(parts)
+        whole, parts = Entries.joined(parts), []
+        yield at, whole
 
 
 @dataclass
