@@ -36,6 +36,7 @@ FLUSH = 1_000_000  # tokens a task gathers before it sends them on
 DISTINCT = 200_000  # words a task counts before it sends the counts on
 ENTRIES, LEAST_PARTITIONS = 1_000_000, 64  # training tokens aimed at in a partition, and partitions at least
 SPREAD = 8
+GATHER = 8  # partitions that one task scores one after the other, so that sums of a document meet before they move
 _RARE = np.uint64(1 << 63)
 START, END = b" start", b" end"  # no word holds a blank
 
@@ -470,7 +471,8 @@ def scores(docs: DataFrame, held: str, id_column: str = "doc_id", text_column: s
     order = np.argsort(codes)
     merged = spread.drop(columns="spread").to_numpy(np.float64)[order]
     sums = "key long, id long, named boolean, held boolean, score double, base double, n_tokens long, n_known long"
-    parts = model.select("r", "data").mapInArrow(_table(_scored, sent, (unigrams, discounts, codes[order], merged)), sums)
+    parcels = model.select("r", "data").coalesce(math.ceil(partitions / GATHER))
+    parts = parcels.mapInArrow(_table(_scored, sent, (unigrams, discounts, codes[order], merged)), sums)
     total = parts.groupBy("key", "id", "named", "held").agg(*(F.sum(c).alias(c) for c in ("score", "base", "n_tokens", "n_known")))
     return total.select(
         F.when(F.col("named"), F.col("id")).alias("id"),
