@@ -37,9 +37,9 @@ def test_library_without_the_package():
 
 def test_stages_by_brute_force(spark):
     """Every stage against plain Python over what the stage before kept."""
-    from test_decontaminate import slow as slow_hits
-    from test_secrets import slow as slow_spans
-    from test_simhash import slow_components, slow_fingerprint
+    from .test_decontaminate import slow as slow_hits
+    from .test_secrets import slow as slow_spans
+    from .test_simhash import slow_components, slow_fingerprint
 
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
