@@ -4,6 +4,10 @@ Each tree splits the space again and again at a random direction; a vector withi
 split goes to both sides. Vectors that share a leaf in any tree are compared in double precision.
 Only the forest (directions and thresholds) is fitted on a bounded sample; every vector is placed.
 
+A node about as narrow as a linked pair is wide is not split any more: a cut would part many of its
+links, and spill would copy most of it. It is compared whole, by pairs of chunks. Trees are added
+until linked pairs of the sample, and partners made at the least cosine, meet as often as `RECALL`.
+
 Equal vectors are one class and are compared once. A pair that shares several leaves is counted in
 the first of them only, so a leaf emits counts and a spanning forest, never its pairs.
 """
@@ -11,6 +15,7 @@ the first of them only, so a leaf emits counts and a spanning forest, never its
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -25,51 +30,110 @@ TREES, LEAF, MARGIN = 6, 256, 0.12  # leaf: vectors aimed at; margin: of the spr
 SAMPLE = 8192  # vectors that thresholds are fitted on
 GROUP = 2048  # vectors compared in one group; larger leaves are cut into pairs of chunks
 FITTED, LEAST = 12, 16  # levels with a threshold for each node, and sampled vectors that such a threshold takes
+RECALL, PROBES = 0.995, 2048  # share of probe pairs that must meet in some tree; pairs of each kind
 SEED = 7
 
 
 class Forest:
     """Trees of one depth. Below the levels that the sample can speak for, a split is at the threshold above it."""
 
-    def __init__(self, sample: np.ndarray, depth: int, trees: int = TREES, margin: float = MARGIN):
-        self.depth, self.trees, self.margin = depth, trees, margin
-        random = np.random.default_rng(SEED)
-        width = sample.shape[1]
-        # One direction for each tree and level; a threshold for each node of the first levels.
-        self.directions = random.standard_normal((trees, depth, width)) / math.sqrt(width)
-        self.thresholds, self.spreads = [], np.zeros((trees, depth))
-        for tree in range(trees):
-            at, levels = np.zeros(len(sample), np.int64), []
-            for level in range(depth):
-                values = sample @ self.directions[tree, level]
-                middle = float(np.median(values)) if len(values) else 0.0
-                self.spreads[tree, level] = float(values.std()) if len(values) else 0.0
-                cuts = np.full(1 << level, middle)
-                if level < FITTED:
-                    order = np.argsort(at, kind="stable")
-                    nodes, starts, counts = np.unique(at[order], return_index=True, return_counts=True)
-                    for node, start, count in zip(nodes, starts, counts, strict=True):
-                        if count >= LEAST:
-                            cuts[node] = np.median(values[order[start : start + count]])
-                levels.append(cuts if level < FITTED else cuts[:1])
-                at = 2 * at + (values > cuts[at])
-            self.thresholds.append(levels)
+    def __init__(self, sample: np.ndarray, depth: int, trees: int = TREES, margin: float = MARGIN, cosine: float = COSINE):
+        self.depth, self.trees, self.margin, self.width = depth, 0, margin, sample.shape[1]
+        self.narrow = math.sqrt(2 * max(0.0, 1 - cosine)) / math.sqrt(max(1, self.width))  # spread of a projected difference at that cosine
+        self.random = np.random.default_rng(SEED)
+        # One direction for each tree and level; a threshold for each node of the first levels, and whether it stays whole.
+        self.directions, self.thresholds, self.spreads, self.whole = [], [], [], []
+        for _ in range(trees):
+            self._grow(sample)
+        probes = [(a, b, np.zeros(len(a), bool)) for a, b in _probes(sample, cosine) if len(a)] if depth else []
+        seen = 0
+        while True:
+            for a, b, met in probes:
+                for tree in range(seen, self.trees):
+                    met |= self._meet(tree, a, b)
+            if all(met.mean() >= RECALL for _, _, met in probes):
+                break
+            seen = self.trees
+            self._grow(sample)
+        del self.random
+
+    def _grow(self, sample: np.ndarray) -> None:
+        self.directions.append(self.random.standard_normal((self.depth, self.width)) / math.sqrt(self.width))
+        self.trees += 1
+        at, thresholds, spreads, wholes = np.zeros(len(sample), np.int64), [], [], []
+        whole = np.zeros(1, bool)
+        for level in range(self.depth):
+            values = sample @ self.directions[-1][level]
+            middle = float(np.median(values)) if len(values) else 0.0
+            spreads.append(float(values.std()) if len(values) else 0.0)
+            cuts = np.full(1 << level if level < FITTED else 1, middle)
+            if level < FITTED:
+                whole = np.repeat(whole, 2) if level else whole
+                order = np.argsort(at, kind="stable")
+                nodes, starts, counts = np.unique(at[order], return_index=True, return_counts=True)
+                for node, start, count in zip(nodes, starts, counts, strict=True):
+                    if count >= LEAST:
+                        own = values[order[start : start + count]]
+                        cuts[node] = np.median(own)
+                        whole[node] |= self._spread(sample[order[start : start + count]]) <= self.narrow
+            thresholds.append(cuts)
+            wholes.append(whole.copy())
+            up = at >> max(0, level - FITTED + 1)
+            at = 2 * at + ((values > cuts[at if len(cuts) > 1 else 0]) & ~whole[up])
+        self.thresholds.append(thresholds)
+        self.spreads.append(spreads)
+        self.whole.append(wholes)
+
+    def _spread(self, vectors: np.ndarray) -> float:
+        """Spread of a projection, over all directions."""
+        return math.sqrt(vectors.var(axis=0).sum() / self.width)
+
+    def _place(self, tree: int, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row, at = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
+        for level in range(self.depth):
+            values = (vectors @ self.directions[tree][level])[row]
+            cuts = self.thresholds[tree][level]
+            off = values - (cuts[at] if len(cuts) > 1 else cuts[0])
+            split = ~self.whole[tree][level][at >> max(0, level - FITTED + 1)]
+            both = (np.abs(off) <= self.margin * self.spreads[tree][level]) & split
+            at = 2 * at + ((off > 0) & split)
+            row, at = np.concatenate([row, row[both]]), np.concatenate([at, at[both] ^ 1])
+        return row, at
+
+    def _meet(self, tree: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each pair of rows, whether a leaf of this tree has both."""
+        (i, x), (j, y) = self._place(tree, a), self._place(tree, b)
+        met = np.zeros(len(a), bool)
+        met[np.intersect1d((i << self.depth) + x, (j << self.depth) + y) >> self.depth] = True
+        return met
 
     def leaves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """`row, leaf` for every leaf of every vector; leaves are numbered over all trees."""
-        rows, leaves = [], []
-        for tree in range(self.trees):
-            row, at = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
-            for level in range(self.depth):
-                values = (vectors @ self.directions[tree, level])[row]
-                cuts = self.thresholds[tree][level]
-                off = values - (cuts[at] if len(cuts) > 1 else cuts[0])
-                both = np.abs(off) <= self.margin * self.spreads[tree, level]
-                at = 2 * at + (off > 0)
-                row, at = np.concatenate([row, row[both]]), np.concatenate([at, at[both] ^ 1])
-            rows.append(row)
-            leaves.append(at + (tree << self.depth))
-        return np.concatenate(rows), np.concatenate(leaves)
+        placed = [self._place(tree, vectors) for tree in range(self.trees)]
+        return np.concatenate([row for row, _ in placed]), np.concatenate([at + (tree << self.depth) for tree, (_, at) in enumerate(placed)])
+
+
+def _probes(sample: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of the sample, and sampled vectors with a partner made at the least cosine."""
+    random = np.random.default_rng(SEED + 1)
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for start in range(0, len(sample), 512):
+        i, j = np.nonzero(sample[start : start + 512] @ sample.T >= cosine)
+        i = i + start
+        i, j = i[i < j], j[i < j]
+        some = random.permutation(len(i))[:PROBES]  # each block has its say, whatever its number of links
+        left.append(i[some])
+        right.append(j[some])
+    left, right = np.concatenate(left), np.concatenate(right)
+    some = random.permutation(len(left))[:PROBES]
+    own = sample[random.permutation(len(sample))[:PROBES]]
+    away = random.standard_normal(own.shape)
+    away -= (away * own).sum(axis=1, keepdims=True) * own
+    length = np.linalg.norm(away, axis=1, keepdims=True)
+    far = length[:, 0] > 1e-6  # vectors of one component have no such partner
+    own, away = own[far], away[far] / length[far]
+    made = cosine * own + math.sqrt(max(0.0, 1 - cosine**2)) * away
+    return [(sample[left[some]], sample[right[some]]), (own, made)]
 
 
 def _unit(vectors: list) -> np.ndarray:
@@ -92,11 +156,12 @@ def _compare(cosine: float):
             link &= own[:, None] != own[None, :]
         # Pairs that also share an earlier leaf are counted there.
         before = [[x for x in leaves if x < leaf] for leaves in group["leaves"]]
-        number = {x: i for i, x in enumerate(sorted({x for xs in before for x in xs}))}
+        shared = Counter(x for xs in before for x in xs)
+        number = {x: i for i, x in enumerate(sorted(x for x, n in shared.items() if n > 1))}
         if number and link.any():
             seen = np.zeros((len(group), len(number)), np.float32)
             for i, xs in enumerate(before):
-                seen[i, [number[x] for x in xs]] = 1
+                seen[i, [number[x] for x in xs if x in number]] = 1
             link &= seen @ seen.T == 0
         name, copies = group["c"].to_numpy(), group["copies"].to_numpy(np.int64)
         links = link @ copies
@@ -140,7 +205,7 @@ def near_duplicates(
     count = classes.count()
     share = min(1.0, 0.95 * sample / max(1, count))
     drawn = classes.filter(F.pmod(F.xxhash64("embedding"), F.lit(1_000_000)) < int(share * 1_000_000)).select("embedding").toPandas()["embedding"]
-    forest = Forest(_unit(drawn.tolist()) if len(drawn) else np.zeros((0, width)), max(0, math.ceil(math.log2(max(1, count) / LEAF))), trees)
+    forest = Forest(_unit(drawn.tolist()) if len(drawn) else np.zeros((0, width)), max(0, math.ceil(math.log2(max(1, count) / LEAF))), trees, cosine=cosine)
     sent = vectors.sparkSession.sparkContext.broadcast(forest)  # a few thousand numbers for each tree
 
     @F.pandas_udf("array<long>")

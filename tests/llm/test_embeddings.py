@@ -54,3 +54,23 @@ def test_few_rows(spark):
     assert embeddings.near_duplicates(frame(spark, [])).count() == 0
     rows = embeddings.near_duplicates(frame(spark, [(3, [1e30, 0.0]), (2, [1e-30, 0.0]), (1, None)])).collect()
     assert sorted((r.id, r.n_links, r.component) for r in rows) == [(1, 0, 1), (2, 1, 2), (3, 1, 2)]
+
+
+@pytest.mark.parametrize("depth", [9, 12, 17])
+def test_links_of_a_large_group_meet_at_depth(depth):
+    """A third of the rows in one group as wide as a linked pair: the trees of a production run must not part its links."""
+    rng = np.random.default_rng(3)
+    centre = rng.standard_normal(64) / 8
+
+    def drawn(n, group):
+        rows = rng.standard_normal((n, 64)) / 8
+        rows[:group] = centre + 0.21 * rows[:group]
+        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    forest = embeddings.Forest(drawn(embeddings.SAMPLE, embeddings.SAMPLE // 3), depth)
+    a, b = drawn(1000, 1000), drawn(1000, 1000)
+    linked = (a * b).sum(axis=1) >= embeddings.COSINE
+    places = [forest.leaves(x[linked]) for x in (a, b)]
+    (i, x), (j, y) = places
+    met = {row for row, _ in set(zip(i.tolist(), x.tolist(), strict=True)) & set(zip(j.tolist(), y.tolist(), strict=True))}
+    assert linked.sum() > 500 and len(met) >= 0.98 * linked.sum()
