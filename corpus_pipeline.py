@@ -16,13 +16,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the least id; documents without an id stay.
+    """One row of each group stays, that with the least id; a row without an id stays only if no row of its group has one.
 
-    Rows that repeat an id share its fate.
+    Rows count one by one: rows that repeat an id may fall into different groups, and equal rows are a group.
     """
-    found = simhash.near_duplicates(docs)
-    others = found.filter("id <> component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")  # written, so that a row keeps its number
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")
+    found = simhash.near_duplicates(rows.withColumn("_key", key), id_column="_key")
+    firsts = found.filter(F.col("id._row") == F.col("component._row")).select("id._row")
+    return rows.join(firsts, "_row", "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,6 +73,19 @@ def test_stages_by_brute_force(spark):
     assert {r.doc_id for r in stages[4](spark, after, DATA).select("doc_id").collect()} == set(before)
 
 
+def test_one_row_of_each_group_stays(spark, make_docs):
+    """Ids that repeat with other texts, repeated rows of the least id, and rows without an id."""
+    texts = [" ".join(f"{name}{i}" for i in range(60)) for name in ("fir", "oak", "elm", "ash", "yew")]
+    pairs = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (2, texts[1]), (3, texts[1]), (2, texts[2]), (4, texts[3]), (4, texts[3])]
+    pairs += [(None, texts[3]), (None, texts[4]), (None, texts[4]), (None, texts[0])]
+    docs = make_docs(pairs)
+    kept = corpus_pipeline.near_duplicates(spark, docs, DATA)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=lambda r: r[1]) == sorted(
+        [(1, texts[0]), (2, texts[1]), (2, texts[2]), (4, texts[3]), (None, texts[4])], key=lambda r: r[1]
+    )
+
+
 def test_whole_run(spark):
     rows = corpus_pipeline.run(spark, DATA)
     assert rows.filter("offset = 0").count() == rows.select("sequence_id").distinct().count() > 0
