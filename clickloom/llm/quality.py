@@ -1,7 +1,8 @@
 """Quality classifier by co-training of two views: what a text is like, and what is known about its page.
 
-Each view has its own logistic regression. In every round each model labels pool documents that it
-is confident about and hands them to the other view's training set. Afterwards each view is
+Each view has its own logistic regression. In every round each model scores all unlabelled documents
+and hands every one that it is confident about to the other view's training set; only the labelled
+rows are sampled. Afterwards each view is
 calibrated on labelled rows that neither saw, and the calibrated log-odds of the views are summed
 over the common prior. A view that knows nothing calibrates to the prior and so adds nothing.
 """
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import saved
 
-LABELLED, POOL = 20_000, 20_000  # bounds of the labelled sample and of the unlabelled pool
-ROUNDS, CONFIDENT, GROWTH = 3, 0.98, 1_000  # rounds, least confidence, rows a view hands over for each class and round so far
+LABELLED = 20_000  # bound of the labelled sample
+ROUNDS, CONFIDENT = 3, 0.98  # rounds, least confidence of a pseudo-label
 HASHED = 256
 KEEP = 0.5  # documents below are rejected
 _UPPER, _DIGITS, _MARKS = bytes(range(65, 91)), bytes(range(48, 58)), bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
@@ -120,12 +121,11 @@ def train(
     docs: DataFrame,
     labels: DataFrame,
     labelled: int = LABELLED,
-    pool: int = POOL,
     rounds: int = ROUNDS,
     id_column: str = "doc_id",
     label_column: str = "quality",
 ) -> CoTrained:
-    """Co-train on at most `labelled` labelled documents and `pool` others.
+    """Co-train on about `labelled` labelled rows at most and all rows without a sampled label.
 
     Labels other than 0 and 1 and labels of null ids are ignored, of repeated labels of an id the
     lower counts. Without labels of both classes the model knows the prior only, or 1.0 without any.
@@ -133,13 +133,16 @@ def train(
     truth = labels.filter(F.col(label_column).isin(0, 1)).groupBy(F.col(id_column).alias("_id")).agg(F.min(label_column).cast("double").alias("_label"))
     truth = _sample(truth.filter("_id IS NOT NULL"), labelled, F.col("_id"))
     docs = docs.select(F.col(id_column).alias("_doc"), "text", "lang", "source")
-    known = saved(views(docs.join(truth, F.col("_doc") == F.col("_id"))).select("_id", "_label", "_text", "_page"), "labelled")
+    rows = docs.join(F.broadcast(truth), F.col("_doc") == F.col("_id"), "left")  # `labelled` ids at most
+    rows = saved(views(rows).select("_id", "_label", "_text", "_page"), "views")
+    others = rows.filter("_label IS NULL").select("_text", "_page")
+    known = saved(rows.filter("_label IS NOT NULL").withColumn("_row", F.monotonically_increasing_id()), "labelled")
+    if known.count() > labelled:  # ids that repeat
+        known = _sample(known, labelled, F.col("_row"))
     counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
     if set(counts) != {0.0, 1.0}:
         return CoTrained(None, None, ((0.0, 0.0), (0.0, 0.0)), 0.0 if set(counts) == {0.0} else 1.0)
     prior = counts[1.0] / sum(counts.values())
-    others = _sample(docs, pool, F.col("_doc")).join(truth.select("_id"), F.col("_doc") == F.col("_id"), "left_anti")
-    others = saved(views(others).select(F.col("_doc").alias("_id"), "_text", "_page"), "pool")
 
     fold = F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(4))
     held, seen = known.filter(fold == 0), known.filter(fold != 0)
@@ -147,18 +150,15 @@ def train(
         held = seen = known
     models = {view: _fit(seen, view) for view in ("_text", "_page")}
     limit = math.log(CONFIDENT / (1 - CONFIDENT))
-    for turn in range(1, rounds + 1):
-        # What a view is sure of now, and more of it each time, is what the other learns from next.
+    for _ in range(rounds):
+        # All that a view is sure of now is what the other learns from next.
         given = {}
         for view, other in (("_text", "_page"), ("_page", "_text")):
             slope, shift = _calibrate(models[view], held, view)
             sure = _scored(models[view], others, view).withColumn("_odds", F.lit(slope) * F.col(f"{view}_odds") + F.lit(shift))
             sure = sure.filter(F.abs("_odds") >= limit).withColumn("_label", (F.col("_odds") > 0).cast("double"))
-            given[other] = seen.select("_label", "_text", "_page")
-            for label in (0.0, 1.0):
-                chosen = sure.filter(F.col("_label") == label).orderBy(F.abs("_odds").desc(), "_id").limit(GROWTH * turn)
-                given[other] = given[other].unionByName(chosen.select("_label", "_text", "_page"))
-        models = {view: _fit(saved(rows, "given"), view) for view, rows in given.items()}
+            given[other] = seen.select("_label", other).unionByName(sure.select("_label", other))
+        models = {view: _fit(rows, view) for view, rows in given.items()}
     calibration = tuple(_calibrate(models[view], held, view) for view in ("_text", "_page"))
     return CoTrained(models["_text"], models["_page"], calibration, prior)
 

@@ -18,6 +18,17 @@ def test_quality_on_held_out_labels(spark):
     assert sum((r._good >= 0.5) == (r.quality == 1) for r in rows) >= 0.97 * len(rows)
 
 
+def test_every_confident_document_is_a_pseudo_label(spark, monkeypatch):
+    """More unlabelled rows than any pool: each one that a view is sure of is learned from."""
+    docs, labels = tables(spark)
+    labels, known = labels.filter("doc_id % 3 = 0"), docs.join(labels.filter("doc_id % 3 = 0"), "doc_id").count()
+    others = docs.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(30)))).withColumn("doc_id", F.lit(None).cast("long")).drop("copy")
+    sizes, fit = [], quality._fit
+    monkeypatch.setattr(quality, "_fit", lambda rows, view: sizes.append(rows.count()) or fit(rows, view))
+    quality.train(docs.unionByName(others), labels, rounds=1)
+    assert len(sizes) == 4 and sizes[0] <= known and max(sizes[2:]) > 10_000
+
+
 def test_toxicity_on_held_out_labels(spark):
     docs, labels = tables(spark)
     model = toxicity.fit_labels(docs, labels.filter("doc_id % 3 <> 0"))
