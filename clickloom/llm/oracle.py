@@ -109,4 +109,36 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
         FROM embeddings LEFT JOIN deg ON a = vec_id LEFT JOIN root ON n = vec_id
     """,
+    "op11_phrases": rf"""
+        WITH piece AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+            FROM (
+                SELECT coalesce(lang, 'und') AS lang,
+                    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents
+            )
+        ),
+        start AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece),
+        gram AS (
+            SELECT lang, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, k FROM start, range(1, 6) t(k) WHERE i + k - 1 <= len(w)
+        ),
+        total AS (SELECT lang, count(*) AS n FROM start GROUP BY lang),
+        f AS (SELECT lang, phrase, k, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 100),
+        kept AS (
+            SELECT * FROM f c WHERE k > 1 AND NOT EXISTS (
+                SELECT 1 FROM f o WHERE o.lang = c.lang AND o.k > c.k AND 100 * o.f >= 100 * c.f AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ')
+            )
+        ),
+        cut AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM kept),
+        scored AS (
+            SELECT cut.lang, cut.phrase, a, l.f AS l, r.f AS r, n, c,
+                (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
+            FROM cut JOIN total ON total.lang = cut.lang
+                JOIN f l ON l.lang = cut.lang AND l.phrase = array_to_string(list_slice(w, 1, c), ' ')
+                JOIN f r ON r.lang = cut.lang AND r.phrase = array_to_string(list_slice(w, c + 1, len(w)), ' ')
+        ),
+        weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM weakest QUALIFY rank <= 2000
+    """,
 }

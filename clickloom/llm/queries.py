@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, embeddings, katz, packing, preferences, quality, secrets, simhash, toxicity, wordpiece
+from clickloom.llm import decontaminate, embeddings, katz, packing, phrases, preferences, quality, secrets, simhash, toxicity, wordpiece
 from clickloom.llm.common import table
 from clickloom.llm.oracle import ORACLES
 
@@ -97,6 +97,11 @@ def op10_katz(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The strongest collocations of each language."""
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -108,4 +113,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_token_counts": op9_token_counts,
     "op10_katz": op10_katz,
+    "op11_phrases": op11_phrases,
 }
