@@ -141,4 +141,44 @@ ORACLES: dict[str, str] = {
         SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
         FROM weakest QUALIFY rank <= 2000
     """,
+    "op12_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        conv AS (
+            SELECT conv_id AS c, conv_id - conv_id % 5 AS base,
+                xor(4294967295, list_reduce(
+                    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+                    lambda crc, byte: list_reduce(
+                        range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, byte)
+                    ),
+                    4294967295
+                )) % 9 AS h
+            FROM (SELECT DISTINCT conv_id FROM own)
+        ),
+        rows AS (
+            SELECT c, 0 AS part, place, role, text FROM conv JOIN own ON own.conv_id = conv.base WHERE place <= h
+            UNION ALL SELECT c, 1, place, role, text FROM conv JOIN own ON own.conv_id = conv.c WHERE place > h
+        ),
+        path AS (
+            SELECT conv.c, coalesce(list({'role': role, 'text': text} ORDER BY part, place) FILTER (part IS NOT NULL), []) AS turns
+            FROM conv LEFT JOIN rows ON rows.c = conv.c GROUP BY conv.c
+        ),
+        member AS (SELECT c, d, turns[:d] AS prefix, turns, d = len(turns) AS ended FROM path, range(0, 4000) t(d) WHERE d <= len(turns)),
+        node AS (
+            SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs,
+                (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(any_value(prefix[d].text))) END AS spared,
+                sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ended), '')) AS ends_sha256
+            FROM member GROUP BY prefix, d
+        ),
+        child AS (SELECT prefix[:d - 1] AS prefix, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+        down AS (SELECT node.prefix[:u] AS prefix, spared, child.prefix IS NULL AS leaf FROM node LEFT JOIN child ON child.prefix = node.prefix, range(0, 4000) t(u) WHERE u <= d),
+        total AS (SELECT prefix, sum(spared) AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM down GROUP BY prefix)
+        SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children,
+            n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, node.ends_sha256
+        FROM node JOIN total ON total.prefix = node.prefix LEFT JOIN child ON child.prefix = node.prefix
+            LEFT JOIN node up ON up.prefix = node.prefix[:node.d - 1] AND up.d = node.d - 1
+    """,
 }

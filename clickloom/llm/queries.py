@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, embeddings, katz, packing, phrases, preferences, quality, secrets, simhash, toxicity, wordpiece
+from clickloom.llm import decontaminate, embeddings, katz, packing, phrases, preferences, prefix_trie, quality, secrets, simhash, toxicity, wordpiece
 from clickloom.llm.common import table
 from clickloom.llm.oracle import ORACLES
 
@@ -102,6 +102,11 @@ def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every distinct conversation prefix with the totals of its subtree."""
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations")).drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -114,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_katz": op10_katz,
     "op11_phrases": op11_phrases,
+    "op12_prefix_trie": op12_prefix_trie,
 }
