@@ -181,4 +181,37 @@ ORACLES: dict[str, str] = {
         FROM node JOIN total ON total.prefix = node.prefix LEFT JOIN child ON child.prefix = node.prefix
             LEFT JOIN node up ON up.prefix = node.prefix[:node.d - 1] AND up.d = node.d - 1
     """,
+    "op13_mixing": r"""
+        WITH doc AS (SELECT source, doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+        src AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3 * CAST(sum(size) AS BIGINT) AS most,
+                (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+            FROM doc GROUP BY source
+        ),
+        -- Sources in the order in which they reach their limit; the first that does not reach it sets the share of all behind it.
+        level AS (
+            SELECT *, sum(most) OVER () // 3 - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+                sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS spare, row_number() OVER o AS i
+            FROM src WINDOW o AS (ORDER BY most * 6 // weight, source NULLS LAST)
+        ),
+        free AS (SELECT * FROM level WHERE rest * weight <= most * spare ORDER BY i LIMIT 1),
+        goal AS (
+            SELECT level.source, level.source_size,
+                CASE WHEN level.i < free.i THEN CAST(level.most AS DOUBLE) ELSE CAST(free.rest * level.weight AS DOUBLE) / CAST(free.spare AS DOUBLE) END AS target,
+                CASE WHEN level.i < free.i THEN level.most ELSE free.rest * level.weight // free.spare END AS budget
+            FROM level, free
+        ),
+        named AS (SELECT *, row_number() OVER (PARTITION BY source, doc_id, size) - 1 AS copy FROM doc),
+        placed AS (
+            SELECT *, sum(size) OVER (
+                PARTITION BY source ORDER BY md5(coalesce('=' || doc_id, 'null') || ':' || size || ':' || copy), doc_id, size, copy
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
+            ) - size AS before
+            FROM named
+        )
+        SELECT doc_id, size, source_size, target,
+            CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+                budget // source_size * size + least(greatest(budget - budget // source_size * source_size - before, 0), size) END AS BIGINT) AS taken
+        FROM placed JOIN goal ON goal.source IS NOT DISTINCT FROM placed.source
+    """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, embeddings, katz, packing, phrases, preferences, prefix_trie, quality, secrets, simhash, toxicity, wordpiece
+from clickloom.llm import decontaminate, embeddings, katz, mixing, packing, phrases, preferences, prefix_trie, quality, secrets, simhash, toxicity, wordpiece
 from clickloom.llm.common import table
 from clickloom.llm.oracle import ORACLES
 
@@ -107,6 +107,11 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, folder, "conversations")).drop("key")
 
 
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.mix(table(spark, folder, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -120,4 +125,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_katz": op10_katz,
     "op11_phrases": op11_phrases,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_mixing": op13_mixing,
 }
