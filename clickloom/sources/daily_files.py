@@ -7,16 +7,16 @@ share it.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickloom.config import Config
 from clickloom.operators.cleaning import CORRUPT, normalise_schema, null_out_tokens
+from clickloom.session import shared_folder
+from clickloom.sources.catalog import DAY, data_files, day_headers, read_catalog, scans
 
-_DAY = re.compile(r"(?:^|[/=])(events_[^/]*\.csv)(?=/|$)")
 # A header other than expected is an error, and a row of other than its cells is kept as text.
 _CSV = {
     "header": "true",
@@ -27,36 +27,18 @@ _CSV = {
     "columnNameOfCorruptRecord": CORRUPT,
     "columnPruning": "false",
 }
+_ORDER = T.StructType([T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("seq", T.LongType())])
+_TAGS = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("ingest_order", _ORDER)])
 
 
 def discover_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     """Data files of each day, in the order of the day names. Lists names, reads nothing."""
-    listed = spark.read.option("recursiveFileLookup", "true").text(folder).inputFiles()
     days: dict[str, list[str]] = defaultdict(list)
-    for path in sorted(listed):
-        day = _DAY.search(path)
-        if day:
-            days[day.group(1)].append(path)
+    for row in sorted(data_files(spark, folder).select("path", "source_file").collect()):
+        days[row.source_file].append(row.path)
     return dict(sorted(days.items()))
 
 
-def read_headers(spark: SparkSession, files: list[str], cfg: Config) -> dict[str, list[str]]:
-    """Column names of each file as it spells them; Spark reads one line per file."""
-
-    def header(file: str) -> list[str]:
-        return spark.read.options(**_CSV, multiLine=cfg.multi_line).csv(file).columns
-
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return dict(zip(files, pool.map(header, files), strict=True))
-
-
-def header_table(spark: SparkSession, headers: dict[str, list[str]]) -> DataFrame:
-    """`source_file`, `columns`: one row per day, the columns that all its files have."""
-    return spark.createDataFrame(
-        list(headers.items()), "source_file string, columns array<string>"
-    )
-
-
 def read_daily_files(
     spark: SparkSession, folder: str, cfg: Config, fill_referrer: bool = True
 ) -> tuple[DataFrame, DataFrame]:
@@ -66,30 +48,35 @@ def read_daily_files(
     only fixed once the frame is stored. Rows with other than their header's cells, such as halves
     of a cell with a line break, have their text in `corrupt_record`.
     """
-    days = discover_files(spark, folder)
-    if not days:
+    path = f"{shared_folder(spark)}/files-{uuid4().hex}"
+    read_catalog(spark, folder).write.parquet(path)
+    catalog = spark.read.parquet(path)
+    if catalog.isEmpty():
         raise FileNotFoundError(f"no events_*.csv in {folder}")
-    own = read_headers(spark, [f for files in days.values() for f in files], cfg)
-    alike: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file, names in own.items():
-        alike[tuple(names)].append(file)
-    headers = {
-        day: [c for c in own[files[0]] if all(c in own[f] for f in files)] for day, files in days.items()
-    }
+    return read_cataloged(spark, catalog, cfg, fill_referrer), day_headers(catalog)
+
+
+def read_cataloged(spark: SparkSession, catalog: DataFrame, cfg: Config, fill_referrer: bool = True) -> DataFrame:
+    """All events of the files of a catalog as text columns: a scan for each different header."""
     parts = [
-        normalise_schema(_scan(spark, names, files, cfg), cfg, fill_referrer)
-        for names, files in alike.items()
+        normalise_schema(_scan(spark, names, paths, cfg), cfg, fill_referrer)
+        for names, paths in scans(catalog).items()
     ]
+    if not parts:  # every file is empty
+        parts = [normalise_schema(_scan(spark, cfg.expected_columns, [], cfg), cfg, fill_referrer)]
     events = parts[0]
     for part in parts[1:]:
         events = events.unionByName(part, allowMissingColumns=True)
-    return events, header_table(spark, headers)
+    return events
 
 
 def _scan(spark: SparkSession, names: tuple[str, ...], files: list[str], cfg: Config) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
-    rows = spark.read.schema(schema).options(**_CSV, multiLine=cfg.multi_line).csv(files)
-    source = F.regexp_extract("_metadata.file_path", _DAY.pattern, 1)
+    reader = spark.read.schema(schema).options(**_CSV, multiLine=cfg.multi_line, recursiveFileLookup="true")
+    if not files:
+        return null_out_tokens(spark.createDataFrame([], T.StructType([*schema.fields, *_TAGS.fields])), cfg)
+    rows = reader.csv(files)
+    source = F.regexp_extract("_metadata.file_path", DAY, 1)
     tagged = rows.select(
         "*",
         source.alias("source_file"),
