@@ -47,7 +47,11 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
     once, null roles and texts are empty, and turns of one number are ordered by role and text. Equal
     conversations are all prompt; a key that only one side has, or an empty side, gives no row.
     """
-    both = _turns(chosen, key).withColumnRenamed("turns", "a").join(_turns(rejected, key).withColumnRenamed("turns", "b"), key)
+    return _formatted(_turns(chosen, key).withColumnRenamed("turns", "a").join(_turns(rejected, key).withColumnRenamed("turns", "b"), key), key)
+
+
+def _formatted(both: DataFrame, key: str) -> DataFrame:
+    """The pairs of `key, a, b`, two arrays of turns in order."""
     same = F.zip_with("a", "b", lambda x, y: (x["role"] == y["role"]) & (x["text"] == y["text"]))
     shared = F.array_position(F.transform(same, lambda s: F.coalesce(s, F.lit(False))), False) - 1
     both = both.withColumn("n_shared", F.when(shared < 0, F.size("a")).otherwise(shared).cast("int"))
@@ -66,21 +70,32 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _answered(turns: DataFrame) -> DataFrame:
+    """`conv_id, a, b`: a conversation up to its last answer, and the same with a neighbour's last answer in its place."""
+    whole = _turns(turns.select("conv_id", "turn", "role", "text"), "conv_id")
+    last = F.try_element_at(F.filter("turns", lambda t: (t["role"] == ASSISTANT) & t["turn"].isNotNull()), F.lit(-1))
+    whole = whole.withColumn("last", last).filter(F.col("last").isNotNull())
+    other = whole.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("last.text").alias("other"))
+    before = F.filter("turns", lambda t: t["turn"] < F.col("last.turn"))
+
+    def side(text: str):
+        return F.concat(before, F.array(F.struct(F.col("last.turn").alias("turn"), F.lit(ASSISTANT).alias("role"), F.col(text).alias("text"))))
+
+    return whole.join(other, "conv_id").select("conv_id", side("last.text").alias("a"), side("other").alias("b"))
+
+
 def swapped_answers(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs from plain conversations `conv_id, turn, role, text`: the last answer is chosen over a neighbour's last answer.
 
     Neighbours are the conversations 2n and 2n + 1. Both sides hold a conversation up to its last
     assistant turn; on the rejected side the neighbour's last assistant turn stands in its place.
-    Conversations without an answer, or whose neighbour has none, are not in the result.
+    Conversations without an answer, or whose neighbour has none, are not in the result; turns without
+    a number come before no answer and are none.
     """
-    turns = turns.select("conv_id", "turn", "role", "text")
-    last = turns.filter(F.col("role") == ASSISTANT).groupBy("conv_id").agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last"))
-    last = last.select(F.col("conv_id").alias("c"), "last")
-    neighbour = last.select(F.col("c").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("last.text").alias("other"))
-    paired = last.withColumnRenamed("c", "conv_id").join(neighbour, "conv_id")
-    before = turns.join(paired, "conv_id").filter(F.col("turn") < F.col("last.turn")).select("conv_id", "turn", "role", "text")
+    both = _answered(turns)
+    return both.select("conv_id", F.inline("a")), both.select("conv_id", F.inline("b"))
 
-    def ending(text: str) -> DataFrame:
-        return paired.select("conv_id", F.col("last.turn").alias("turn"), F.lit(ASSISTANT).alias("role"), F.col(text).alias("text"))
 
-    return before.unionByName(ending("last.text")), before.unionByName(ending("other"))
+def format_answers(turns: DataFrame) -> DataFrame:
+    """`format_pairs` of `swapped_answers`, without taking the pairs apart in between."""
+    return _formatted(_answered(turns), "conv_id")

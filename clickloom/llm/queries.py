@@ -37,7 +37,7 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation's last answer against its neighbour's, with the shared turns as prompt."""
-    return preferences.format_pairs(*preferences.swapped_answers(table(spark, folder, "conversations")), "conv_id")
+    return preferences.format_answers(table(spark, folder, "conversations"))
 
 
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

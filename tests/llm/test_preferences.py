@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from clickloom.llm import preferences
 
+from .conftest import SMALL
+
 TURNS = "pair long, turn long, role string, text string, turns string, a string"
 
 
@@ -30,3 +32,16 @@ def test_swapped_answers(spark):
     assert set(found) == {0, 1}
     assert found[0].prompt == "<|user|>\na<|end|>\n" and "d" in found[0].rejected and "b" in found[0].chosen
     assert preferences.format_pairs(*preferences.swapped_answers(turns.filter("false")), "conv_id").count() == 0
+
+
+def test_same_without_broadcast(spark):
+    """Joins of large tables shuffle both sides; results stay the same."""
+    turns = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    whole = sorted(map(repr, preferences.format_answers(turns).collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(repr, preferences.format_answers(turns).collect())) == whole
+        assert sorted(map(repr, preferences.format_pairs(*preferences.swapped_answers(turns), "conv_id").collect())) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
