@@ -34,8 +34,8 @@ def with_chunk(events: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def summarise_chunks(events: DataFrame, cfg: Config) -> DataFrame:
-    """One row per (client, chunk): times, flags and the first known attributes."""
+def summarise_chunks(events: DataFrame, cfg: Config, *more_keys: str) -> DataFrame:
+    """One row per (client, chunk), and per `more_keys`: times, flags and the first known attributes."""
     order = F.struct("event_timestamp", "ingest_order")
 
     def first_known(value: Column, known: Column, name: str) -> Column:
@@ -47,7 +47,7 @@ def summarise_chunks(events: DataFrame, cfg: Config) -> DataFrame:
     touch = F.struct(*TRAFFIC_COLUMNS)
     return (
         with_chunk(events, cfg)
-        .groupBy(*CHUNK_KEYS)
+        .groupBy(*more_keys, *CHUNK_KEYS)
         .agg(
             F.min("event_timestamp").alias("first_ts"),
             F.max("event_timestamp").alias("last_ts"),
@@ -74,9 +74,14 @@ def _merged() -> list[Column]:
     ]
 
 
+def merged_chunks(parts: DataFrame) -> DataFrame:
+    """One summary per (client, chunk) from summaries of disjoint sets of events."""
+    return parts.groupBy(*CHUNK_KEYS).agg(*_merged())
+
+
 def merge_chunks(old: DataFrame, new: DataFrame) -> DataFrame:
     """Chunk summaries of the union of two disjoint sets of events."""
-    return old.unionByName(new).groupBy(*CHUNK_KEYS).agg(*_merged())
+    return merged_chunks(old.unionByName(new))
 
 
 def number_chunks(chunks: DataFrame, cfg: Config) -> DataFrame:

@@ -431,6 +431,15 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   {_show('session_end')} AS session_end, event_count, landing_page FROM sess"""),
         "incremental_sessions": _with(_SESSION_CHAIN, f"""SELECT {_SESSION_COLUMNS} FROM sess WHERE client_id IN
   (SELECT client_id FROM enriched WHERE event_date >= DATE '2024-01-16')"""),
+        "incremental_run": _with(_SESSION_CHAIN, f"SELECT {_SESSION_COLUMNS} FROM sess"),
+        "incremental_history": _with(_SESSION_CHAIN, """SELECT 1::BIGINT AS version,
+  (SELECT count(DISTINCT source_file) FROM raw WHERE source_file NOT IN ('events_20240127.csv', 'events_20240130.csv')
+     AND (source_file <> 'events_20240112.csv' OR event_id % 2 = 0)) AS days,
+  count(DISTINCT client_id) FILTER (source_file NOT IN ('events_20240127.csv', 'events_20240130.csv')
+     AND (source_file <> 'events_20240112.csv' OR event_id % 2 = 0)) AS clients FROM enriched
+  UNION ALL SELECT 2, (SELECT count(DISTINCT source_file) FROM raw WHERE source_file IN
+     ('events_20240127.csv', 'events_20240130.csv', 'events_20240112.csv')),
+  count(DISTINCT client_id) FILTER (source_file IN ('events_20240127.csv', 'events_20240130.csv', 'events_20240112.csv')) FROM enriched"""),
         "conversions": _with(_CONV_CHAIN, f"""SELECT transaction_id, client_id, session_id, {_show('ets')} AS conversion_timestamp,
   CAST(event_date AS VARCHAR) AS event_date, revenue, item_count, user_email_hash, traffic_source, traffic_medium, traffic_campaign,
   marketing_channel, page_url FROM conv"""),

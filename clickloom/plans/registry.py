@@ -5,6 +5,7 @@ Times are shown as text, and ratios are rounded, so that results compare across
 
 from __future__ import annotations
 
+import re as regex
 from collections.abc import Callable
 from datetime import timedelta
 from uuid import uuid4
@@ -25,12 +26,13 @@ from clickloom.operators import reports as re
 from clickloom.operators import sessions as se
 from clickloom.operators.conversions import purchase_record, transactions
 from clickloom.operators.reconcile import reconciliation
+from clickloom.plans.incremental import SessionStore
 from clickloom.plans.monitor import monitored_days
 from clickloom.plans.transform import Derived
 from clickloom.session import shared_folder
 from clickloom.sources.daily_files import read_daily_files
 from clickloom.sources.sinks import CSV_OUTPUT
-from clickloom.sources.event_table import raw_clickstream, raw_headers
+from clickloom.sources.event_table import HEADER, raw_clickstream, raw_headers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +83,24 @@ def _days(spark: SparkSession, folder: str) -> DataFrame:
     return monitored_days(raw, CFG, raw_headers(raw))
 
 
+def _written(spark: SparkSession, folder: str) -> str:
+    """The clickstream as a folder of daily files, each with the header of its day; made anew for every query."""
+    path = f"{shared_folder(spark)}/daily-{uuid4().hex}"
+    raw = _raw(spark, folder)
+    raw = raw.join(F.broadcast(raw_headers(raw)), "source_file")  # one row a day
+    for header in regex.findall("'([^']+)'", HEADER):
+        names = header.split(",")
+        cells = [F.lit("").alias(c) if c == "debug" else F.col("client_id" if c == "clientId" else c).alias(c) for c in names]
+        part = raw.filter(F.array_join("columns", ",") == header).select(*cells, "source_file")
+        part.write.mode("append").partitionBy("source_file").options(**CSV_OUTPUT).csv(path)
+    return path
+
+
+def _file_results(spark: SparkSession, folder: str, check: str) -> DataFrame:
+    events, headers = read_daily_files(spark, _written(spark, folder), CFG, fill_referrer=False)
+    return qu.dq_results(qu.file_profile(events.drop(cl.CORRUPT), headers, CFG, (check,)), CFG, (check,))
+
+
 def _time(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSS").alias(column)
 
@@ -275,6 +295,33 @@ def incremental_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return _show_times(updated.drop("session_number"))
 
 
+_LATE = ("events_20240127.csv", "events_20240130.csv")
+_AGAIN = "events_20240112.csv"
+
+
+def _store(spark: SparkSession, folder: str) -> SessionStore:
+    """A store that took in most days first, one of them by half, and then the late days and that one whole."""
+    raw = _raw(spark, folder)
+    store = SessionStore(spark, f"{shared_folder(spark)}/store-{uuid4().hex}", CFG)
+    late = F.col("source_file").isin(*_LATE)
+    half = (F.col("source_file") != _AGAIN) | (F.col("ingest_order.seq") % 2 == 0)
+    store.take_events(raw.filter(~late & half))
+    store.take_events(raw.filter(late | (F.col("source_file") == _AGAIN)))
+    return store
+
+
+@query
+def incremental_run(spark: SparkSession, folder: str) -> DataFrame:
+    """All sessions of a store after days came late and one was replaced: those of one run over everything."""
+    return _show_times(_store(spark, folder).sessions().drop("session_number"))
+
+
+@query
+def incremental_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Days and clients that each run of that store touched; all other clients kept their sessions as they were."""
+    return _store(spark, folder).history().select("version", "days", "clients")
+
+
 # --- conversions, attribution, journeys -----------------------------------------------
 
 
@@ -406,8 +453,17 @@ def _single_check(check: str) -> Query:
     return run
 
 
+def _header_check(check: str) -> Query:
+    """The same for a check of headers: files are written, and read with their own headers."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return _rounded(_file_results(spark, folder, check).drop("details"), "failure_rate")
+
+    return run
+
+
 for _check in qu.CHECKS:
-    QUERIES[f"dq_{_check}"] = _single_check(_check)
+    QUERIES[f"dq_{_check}"] = (_header_check if _check in ("required_columns", "referrer") else _single_check)(_check)
 
 
 @query
@@ -428,7 +484,8 @@ def trend_anomalies(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def schema_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return qu.schema_changes(raw_headers(_raw(spark, folder)))
+    """Header changes of the files as they lie in a folder."""
+    return qu.schema_changes(read_daily_files(spark, _written(spark, folder), CFG)[1])
 
 
 @query
@@ -572,6 +629,14 @@ for _name, _names in ALERT_QUERIES.items():
     QUERIES[_name] = _alerts_named(*_names)
 
 
+@query
+def alert_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts on headers, from files that are written and read with their own headers."""
+    events, headers = read_daily_files(spark, _written(spark, folder), CFG)
+    found = mo.alerts(monitored_days(events.drop(cl.CORRUPT), CFG, headers), CFG).drop("message")
+    return _rounded(found.filter("name = 'schema_change'"), "current_value", "threshold", digits=4)
+
+
 @query
 def alert_counts(spark: SparkSession, folder: str) -> DataFrame:
     return mo.alert_counts(mo.alerts(_days(spark, folder), CFG))
