@@ -173,6 +173,18 @@ def history_metrics(events: DataFrame, cfg: Config) -> DataFrame:
     return daily.withColumn("aov", ratio(F.col("revenue"), F.col("conversions")))
 
 
+def history_of_days(days: DataFrame) -> DataFrame:
+    """`history_metrics` from day profiles, which hold the same sums."""
+    bought = F.col("purchase_rows")
+    return days.select(
+        "source_file",
+        "events",
+        bought.alias("conversions"),
+        F.col("purchase_revenue").alias("revenue"),
+        ratio(F.col("purchase_revenue"), bought).alias("aov"),
+    )
+
+
 def baseline_days(history: DataFrame, cfg: Config) -> DataFrame:
     """The first days by file name; the baseline is made of exactly these."""
     return history.orderBy("source_file").limit(cfg.monitor.baseline_days)

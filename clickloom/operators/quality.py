@@ -143,9 +143,13 @@ def duplicate_transactions(events: DataFrame, cfg: Config) -> DataFrame:
 
 def cross_file_duplicates(events: DataFrame, cfg: Config) -> DataFrame:
     """Transaction ids that occur more than once in all files together."""
+    return repeated_ids(transactions(events, cfg))
+
+
+def repeated_ids(found: DataFrame) -> DataFrame:
+    """The same from `transactions` that were extracted before."""
     return (
-        transactions(events, cfg)
-        .filter("has_transaction")
+        found.filter("has_transaction")
         .groupBy("transaction_id")
         .agg(F.count("*").alias("occurrences"))
         .filter(F.col("occurrences") > 1)
@@ -154,9 +158,14 @@ def cross_file_duplicates(events: DataFrame, cfg: Config) -> DataFrame:
 
 def duplicate_occurrences(events: DataFrame, cfg: Config) -> DataFrame:
     """Every occurrence of a duplicated id as a row of its own, so that no list can grow."""
-    return transactions(events, cfg).filter("has_transaction").join(
-        cross_file_duplicates(events, cfg), "transaction_id"
-    ).select("transaction_id", "occurrences", "source_file", "revenue", "timestamp")
+    return occurrences_of_repeated(transactions(events, cfg))
+
+
+def occurrences_of_repeated(found: DataFrame) -> DataFrame:
+    """The same from `transactions` that were extracted before."""
+    return found.filter("has_transaction").join(repeated_ids(found), "transaction_id").select(
+        "transaction_id", "occurrences", "source_file", "revenue", "timestamp"
+    )
 
 
 def client_funnel(events: DataFrame, cfg: Config) -> DataFrame:

@@ -1,86 +1,25 @@
 """Sessions kept up to date from day to day without reading old files again.
 
-A store is a folder. Every run adds one version, in four tables with a folder for each version:
+A `VersionedStore` with, besides the manifest, three tables:
 
-    files     the data files that were taken in, with day, length and time: the manifest
     partials  chunk summaries of each day, mergeable over days
-    touched   the clients whose sessions the version replaces
+    touched   the clients whose sessions a version replaces
     sessions  all sessions of those clients
 
-and then one row in `log`. That row is a single small file, so a version is there whole or not at all:
-what a run left behind that died before it is ignored, and overwritten by the next run. One run at a
-time may write; readers see the last version in the log, whatever is being written.
-
-A day is replaced as a whole: if any of its files is new or has changed, all of them are read, and the
-summaries of its former version do not count any more. Clients neither in the new nor in the former
-version of the days of a run keep the rows they have.
+Clients neither in the new nor in the former version of the days of a run keep the rows they have.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from clickloom.config import Config
 from clickloom.functions.channels import with_traffic_source
 from clickloom.operators import sessions as se
 from clickloom.operators.cleaning import clean_events
-from clickloom.sources.catalog import data_files, read_catalog
-from clickloom.sources.daily_files import read_cataloged
-
-LOG = "version long, base long, added timestamp"
-
-
-@dataclass(frozen=True)
-class SessionStore:
-    spark: SparkSession
-    folder: str
-    cfg: Config
-
-    # --- versions ---------------------------------------------------------------------
-
-    def log(self) -> DataFrame:
-        """`version, base, added`: the versions there are, and for each the first one a reader needs for sessions."""
-        try:
-            return self.spark.read.schema(LOG).parquet(f"{self.folder}/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], LOG)
-
-    def _last(self) -> tuple[int, int]:
-        row = self.log().agg(F.max("version").alias("version"), F.max("base").alias("base")).first()
-        return row.version or 0, row.base or 1
-
-    def _commit(self, version: int, base: int) -> None:
-        row = self.spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(base).cast("long").alias("base"), F.current_timestamp().alias("added"))
-        row.coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
-
-    def _write(self, frame: DataFrame, name: str, version: int) -> DataFrame:
-        path = f"{self.folder}/{name}/version={version}"
-        frame.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(frame.schema).parquet(path)
+from clickloom.sources.store import VersionedStore
 
-    def _read(self, name: str, last: int, first: int = 1) -> DataFrame | None:
-        """The table over some versions, with their `version`; None before there is any."""
-        if last < first:
-            return None
-        table = self.spark.read.option("mergeSchema", "false").parquet(f"{self.folder}/{name}")
-        return table.withColumn("version", F.col("version").cast("long")).filter(F.col("version").between(first, last))
-
-    # --- what there is ----------------------------------------------------------------
-
-    def _days(self, version: int) -> DataFrame:
-        """`source_file, version`: the version that holds each day; one row a day."""
-        return self._read("files", version).groupBy("source_file").agg(F.max("version").alias("version"))
-
-    def files(self) -> DataFrame:
-        """The manifest: the files that make up each day now."""
-        version, _ = self._last()
-        return self._read("files", version).join(self._days(version), ["source_file", "version"], "left_semi")
 
+class SessionStore(VersionedStore):
     def sessions(self, version: int | None = None) -> DataFrame:
         """All sessions as of the last, or of an earlier version that was not compacted since."""
         last, base = self._last()
@@ -95,41 +34,13 @@ class SessionStore:
         read = self._read("files", version).groupBy("version").agg(F.countDistinct("source_file").alias("days"), F.count("path").alias("files"))
         return read.join(self._read("touched", version).groupBy("version").agg(F.count("*").alias("clients")), "version", "left")
 
-    # --- runs -------------------------------------------------------------------------
-
-    def take_folder(self, folder: str) -> int:
-        """Take in the days of a folder that have new or changed files; the version afterwards.
-
-        Files that are gone from the folder stay taken in.
-        """
-        version, _ = self._last()
-        listed = data_files(self.spark, folder)
-        if version:
-            known = self.files().select("path", "length", "modified")
-            same = [listed[c].eqNullSafe(known[c]) for c in ("path", "length", "modified")]
-            days = listed.join(known, same, "left_anti").select("source_file").distinct()
-            listed = listed.join(days, "source_file", "left_semi")
-        catalog = read_catalog(self.spark, folder, listed.select("path", "source_file", "length", "modified"))
-        files = self._write(catalog, "files", version + 1)  # not in the log yet, so this is no more than a note
-        if files.isEmpty():
-            return version
-        return self._take(read_cataloged(self.spark, files, self.cfg), files, version + 1)
-
-    def take_events(self, raw: DataFrame) -> int:
-        """Take in raw events as `read_daily_files` gives them; each of their days is replaced whole."""
-        version = self._last()[0] + 1
-        days = raw.select("source_file").distinct()
-        none = {"path": "string", "length": "long", "modified": "timestamp", "columns": "array<string>"}
-        files = days.select(F.lit(None).cast("string").alias("path"), "source_file", *[F.lit(None).cast(t).alias(c) for c, t in none.items() if c != "path"])
-        return self._take(raw, self._write(files, "files", version), version)
-
     def _take(self, raw: DataFrame, files: DataFrame, version: int) -> int:
         events = with_traffic_source(clean_events(raw, self.cfg), self.cfg)
-        fresh = self._write(se.summarise_chunks(events, self.cfg, "source_file"), "partials", version)
-        days = files.select("source_file").distinct()
-        touched, parts = fresh.select("client_id"), fresh
+        parts = self._write(se.summarise_chunks(events, self.cfg, "source_file"), "partials", version)
+        touched = parts.select("client_id")
         if version > 1:
-            before = self._read("partials", version - 1).join(self._days(version - 1), ["source_file", "version"], "left_semi").drop("version")
+            days = files.select("source_file").distinct()
+            before = self._active("partials", version - 1)
             touched = touched.unionByName(before.join(days, "source_file", "left_semi").select("client_id"))
             parts = parts.unionByName(before.join(days, "source_file", "left_anti"))
         touched = self._write(touched.distinct(), "touched", version)
@@ -143,7 +54,7 @@ class SessionStore:
         version = self._last()[0] + 1
         sessions = self._write(self.sessions(), "sessions", version)
         self._write(sessions.select("client_id").distinct(), "touched", version)
-        self._write(self._read("files", version - 1).drop("version").limit(0), "files", version)
-        self._write(self._read("partials", version - 1).drop("version").limit(0), "partials", version)
+        for name in ("files", "partials"):
+            self._write(self._read(name, version - 1).drop("version").limit(0), name, version)
         self._commit(version, version)
         return version

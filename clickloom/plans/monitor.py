@@ -15,13 +15,20 @@ def monitored_days(raw: DataFrame, cfg: Config, headers: DataFrame | None = None
     return m.with_baseline(m.day_profile(events, cfg, headers), cfg)
 
 
-def run_monitoring(raw: DataFrame, cfg: Config, headers: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Alerts, metrics and verdicts of every day as lazy tables side by side."""
-    days = monitored_days(raw, cfg, headers)
+def monitoring_tables(days: DataFrame, cfg: Config) -> dict[str, DataFrame]:
+    """All that follows from day profiles with their baseline; no event is read for it."""
     found = m.alerts(days, cfg)
+    history = m.history_of_days(days)
     return {
         "alerts": found,
         "alert_counts": m.alert_counts(found),
         "metrics": m.metric_results(days, cfg),
         "verdicts": m.critical_verdict(days, found),
+        "z_scores": m.metric_zscores(history, m.baseline_stats(history, cfg), cfg),
+        "rolling_baseline": m.rolling_baseline(history, cfg),
     }
+
+
+def run_monitoring(raw: DataFrame, cfg: Config, headers: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Alerts, metrics and verdicts of every day as lazy tables side by side."""
+    return monitoring_tables(monitored_days(raw, cfg, headers), cfg)

@@ -558,6 +558,14 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
         "alert_counts": _with(_MON_CHAIN, "SELECT source_file, severity, count(*) AS alerts FROM found GROUP BY source_file, severity"),
         "critical_verdict": _with(_MON_CHAIN, """SELECT source_file, source_file IN
   (SELECT source_file FROM found WHERE severity = 'CRITICAL') AS critical FROM days"""),
+        "counts_in_flight": _with([*_ATTR_CHAIN, _SUMMARY, _JOURNEYS], " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS observed, count(*) AS in_footers FROM {source}" for name, source in (
+                ("events_enriched", "enriched"), ("sessions", "sess"), ("conversions", "conv"), ("attribution", "attributed"),
+                ("channel_summary", "summary"), ("user_journeys", "journeys")))),
+        "ordered_export": _with(_SESSION_CHAIN, """SELECT CAST(session_date AS VARCHAR) AS session_date, count(*) AS sessions,
+  true AS in_order FROM sess GROUP BY session_date"""),
+        "written_alerts": _with(_MON_CHAIN, """SELECT source_file, count(*) FILTER (name IS NOT NULL) AS alerts,
+  1::BIGINT AS runs FROM days LEFT JOIN found USING (source_file) GROUP BY source_file"""),
         # reports
         "kpi_summary": _with(_CONV_CHAIN, f"""SELECT {money} AS revenue, count(*) AS orders, round({money} / count(*), 4) AS aov,
   (SELECT round(count(*) FILTER (WHERE has_purchase) / count(*) * 100, 4) FROM sess) AS session_conversion_pct FROM conv"""),
@@ -591,6 +599,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
         "daily_trend": _with(_CONV_CHAIN, f"""SELECT CAST(event_date AS VARCHAR) AS date, count(*) AS conversions, {money} AS revenue
   FROM conv WHERE event_date IS NOT NULL GROUP BY event_date"""),
     }
+    # Stored day by day or computed at once: the answers are the same.
+    sql |= {f"incremental_{new}": sql[old] for new, old in (("validation", "dq_results"), ("duplicates", "cross_file_duplicates"), ("alerts", "alerts"))}
     for check in CHECKS:
         sql[f"dq_{check}"] = _with(_DQ_CHAIN, f"{_RESULT_COLUMNS} WHERE check_name = '{check}'")
     for name, alerts in ALERT_QUERIES.items():

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from datetime import timedelta
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.config import Config, MonitorLimits, QualityLimits
 from clickloom.functions.agents import browser, device_type
@@ -28,10 +28,11 @@ from clickloom.operators.conversions import purchase_record, transactions
 from clickloom.operators.reconcile import reconciliation
 from clickloom.plans.incremental import SessionStore
 from clickloom.plans.monitor import monitored_days
+from clickloom.plans.profiles import ProfileStore
 from clickloom.plans.transform import Derived
 from clickloom.session import shared_folder
 from clickloom.sources.daily_files import read_daily_files
-from clickloom.sources.sinks import CSV_OUTPUT
+from clickloom.sources.sinks import CSV_OUTPUT, ORDER, row_counts, write_alerts, write_table, write_tables
 from clickloom.sources.event_table import HEADER, raw_clickstream, raw_headers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,17 +300,21 @@ _LATE = ("events_20240127.csv", "events_20240130.csv")
 _AGAIN = "events_20240112.csv"
 
 
-def _store(spark: SparkSession, folder: str) -> SessionStore:
-    """A store that took in most days first, one of them by half, and then the late days and that one whole."""
-    raw = _raw(spark, folder)
-    store = SessionStore(spark, f"{shared_folder(spark)}/store-{uuid4().hex}", CFG)
+def _fill(store, raw: DataFrame):
+    """The store after it took in most days, one of them by half, and then the late days and that one whole."""
+    headers = raw_headers(raw)
     late = F.col("source_file").isin(*_LATE)
     half = (F.col("source_file") != _AGAIN) | (F.col("ingest_order.seq") % 2 == 0)
-    store.take_events(raw.filter(~late & half))
-    store.take_events(raw.filter(late | (F.col("source_file") == _AGAIN)))
+    store.take_events(raw.filter(~late & half), headers.filter(~late))
+    second = late | (F.col("source_file") == _AGAIN)
+    store.take_events(raw.filter(second), headers.filter(second))
     return store
 
 
+def _store(spark: SparkSession, folder: str) -> SessionStore:
+    return _fill(SessionStore(spark, f"{shared_folder(spark)}/store-{uuid4().hex}", CFG), _raw(spark, folder))
+
+
 @query
 def incremental_run(spark: SparkSession, folder: str) -> DataFrame:
     """All sessions of a store after days came late and one was replaced: those of one run over everything."""
@@ -322,6 +327,28 @@ def incremental_history(spark: SparkSession, folder: str) -> DataFrame:
     return _store(spark, folder).history().select("version", "days", "clients")
 
 
+def _profiles(spark: SparkSession, folder: str) -> ProfileStore:
+    return _fill(ProfileStore(spark, f"{shared_folder(spark)}/profiles-{uuid4().hex}", CFG), _raw(spark, folder))
+
+
+@query
+def incremental_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """Check results of every file from profiles that were stored day by day."""
+    return _rounded(_profiles(spark, folder).validation()["results"].drop("details"), "failure_rate")
+
+
+@query
+def incremental_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Transaction ids that occur more than once, from the transactions each stored day left."""
+    return _profiles(spark, folder).validation()["cross_file_duplicates"]
+
+
+@query
+def incremental_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts of every day from day profiles that were stored day by day."""
+    return _rounded(_profiles(spark, folder).monitoring()["alerts"].drop("message"), "current_value", "threshold", digits=4)
+
+
 # --- conversions, attribution, journeys -----------------------------------------------
 
 
@@ -648,6 +675,54 @@ def critical_verdict(spark: SparkSession, folder: str) -> DataFrame:
     return mo.critical_verdict(days, mo.alerts(days, CFG))
 
 
+# --- written tables -------------------------------------------------------------------
+
+
+@query
+def counts_in_flight(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the six written tables, counted by the writing jobs and again from file footers."""
+    d = _derived(spark, folder)
+    path = f"{shared_folder(spark)}/tables-{uuid4().hex}"
+    tables = ("events_enriched", "sessions", "conversions", "attribution", "channel_summary", "user_journeys")
+    observed = write_tables({name: getattr(d, name) for name in tables}, path)
+    footers = row_counts(spark, {name: f"{path}/{name}" for name in tables})
+    rows = [(name, observed[name], footers[name]) for name in tables]
+    return spark.createDataFrame(rows, "table_name string, observed long, in_footers long")
+
+
+@query
+def ordered_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions written in ranges of date and key: whether each date's files, read by name, are in order."""
+    path = f"{shared_folder(spark)}/ordered-{uuid4().hex}"
+    stored = write_table(_derived(spark, folder).sessions, path, "stored")
+    write_table(spark.read.parquet(stored), path, "sessions", ordered=True)
+    key = F.struct(*ORDER["sessions"])
+    file, place = F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place")
+    read = spark.read.parquet(f"{path}/sessions").select("session_date", key.alias("key"), file, place)
+    inside = Window.partitionBy("session_date", "file").orderBy("place")  # rows of one file
+    steps = read.withColumn("sorted", F.coalesce(F.lag("key").over(inside) <= F.col("key"), F.lit(True)))
+    files = steps.groupBy("session_date", "file").agg(
+        F.count("*").alias("sessions"), F.min("sorted").alias("sorted"), F.min("key").alias("first"), F.max("key").alias("last")
+    )
+    by_name = Window.partitionBy("session_date").orderBy("file")  # files of one date
+    files = files.withColumn("follows", F.coalesce(F.lag("last").over(by_name) <= F.col("first"), F.lit(True)))
+    dates = files.groupBy("session_date").agg(F.sum("sessions").alias("sessions"), F.min(F.col("sorted") & F.col("follows")).alias("in_order"))
+    return dates.withColumn("session_date", _date("session_date"))
+
+
+@query
+def written_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts of each day as they lie in the sink after a run was repeated."""
+    path = f"{shared_folder(spark)}/alerts-{uuid4().hex}"
+    days = _days(spark, folder)
+    for run in ("first", "second"):
+        out = write_alerts(mo.alerts(days, CFG), path, days, run)
+    lines = spark.read.json(out)
+    return lines.groupBy("source_file").agg(
+        F.count(F.when(F.col("kind") == "alert", 1)).alias("alerts"), F.countDistinct("run").alias("runs")
+    )
+
+
 # --- reports --------------------------------------------------------------------------
 
 

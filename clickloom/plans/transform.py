@@ -18,7 +18,7 @@ from clickloom.operators.journeys import user_journeys
 from clickloom.operators.reconcile import reconciliation
 from clickloom.session import shared_folder
 from clickloom.sources.daily_files import read_daily_files
-from clickloom.sources.sinks import CSV_OUTPUT, store_events, write_table
+from clickloom.sources.sinks import CSV_OUTPUT, store_events, write_tables
 
 
 @dataclass(frozen=True)
@@ -67,9 +67,11 @@ class Derived:
 
 
 def run_transformation(
-    spark: SparkSession, source: str | DataFrame, folder: str, cfg: Config, fmt: str = "parquet"
+    spark: SparkSession, source: str | DataFrame, folder: str, cfg: Config, fmt: str = "parquet", ordered: bool = False
 ) -> dict[str, DataFrame]:
-    """Write the six tables and the rejects, and return them as read back, plus the checks.
+    """Write the six tables and the rejects, and return them as read back, plus row counts and the checks.
+
+    With `ordered` the files of each date, read by name, are in order throughout (see `write_table`).
 
     Raw files, numbered chunks, conversions and attribution feed several tables, so each is
     written once to the shared folder and read back: later tables do not repeat the work, and
@@ -100,11 +102,11 @@ def run_transformation(
         "user_journeys": user_journeys(sessions, bought, cfg),
         "rejects": rejects(raw, cfg).drop("ingest_order"),
     }
-    written = {}
+    counts = write_tables(tables, folder, fmt, ordered)
+    written = {"row_counts": spark.createDataFrame(list(counts.items()), "table_name string, rows long")}
     for name, frame in tables.items():
-        path = write_table(frame, folder, name, fmt)
-        reader = spark.read.schema(frame.schema)
-        written[name] = reader.format(fmt).options(**CSV_OUTPUT).load(path).select(frame.columns)
+        reader = spark.read.schema(frame.schema).format(fmt).options(**CSV_OUTPUT)
+        written[name] = reader.load(f"{folder.rstrip('/')}/{name}").select(frame.columns)
     written["reconciliation"] = reconciliation(
         raw, written["events_enriched"], sessions, bought, attributed, cfg
     )

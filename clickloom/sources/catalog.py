@@ -98,7 +98,7 @@ def read_catalog(spark: SparkSession, folder: str, files: DataFrame | None = Non
 def day_headers(catalog: DataFrame) -> DataFrame:
     """`source_file, columns`: one row per day, the columns that all its files have, in the order of its first file."""
     days = catalog.groupBy("source_file").agg(
-        F.min_by("columns", "path").alias("first"), F.collect_set("columns").alias("kinds")
+        F.min_by("columns", F.coalesce("path", F.lit(""))).alias("first"), F.collect_set("columns").alias("kinds")
     )
     shared = F.filter("first", lambda c: F.forall("kinds", lambda kind: F.array_contains(kind, c)))
     return days.select("source_file", shared.alias("columns"))

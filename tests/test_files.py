@@ -5,6 +5,7 @@ import json
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from clickloom import Config
 from clickloom.operators import sessions as se
@@ -134,7 +135,41 @@ def test_only_the_dates_written_are_replaced(spark, folder, tmp_path_factory):
 
 def test_alerts_as_json(spark, tmp_path):
     path = write_alerts(spark.createDataFrame([("d", "x")], "source_file string, name string"), str(tmp_path))
-    assert set(spark.read.json(path).columns) == {"source_file", "name", "raised_at"}
+    assert set(spark.read.json(path).columns) == {"source_file", "name", "kind", "run", "raised_at"}
+
+
+def test_a_repeated_run_leaves_one_set_of_alerts(spark, tmp_path):
+    def alerts(*pairs):
+        return spark.createDataFrame(list(pairs), "source_file string, name string")
+
+    days = spark.createDataFrame([("d1",), ("d2",)], "source_file string")
+    write_alerts(alerts(("d1", "x"), ("d2", "y"), ("d2", "z")), str(tmp_path), days, "r1")
+    write_alerts(alerts(("d2", "y")), str(tmp_path), days.filter("source_file = 'd2'"), "r2")
+    path = write_alerts(alerts(("d3", "w")), str(tmp_path), days.unionByName(spark.sql("SELECT 'd3' AS source_file")).filter("source_file <> 'd1'"), "r3")
+    lines = spark.read.json(path)
+    assert rows(lines.filter("kind = 'alert'"), "source_file", "name", "run") == [("d1", "x", "r1"), ("d3", "w", "r3")]
+    assert rows(lines.filter("kind = 'day'"), "source_file", "run") == [("d1", "r1"), ("d2", "r3"), ("d3", "r3")]
+
+
+def test_ordered_export_and_counts(spark, folder, tmp_path):
+    out = run_transformation(spark, str(folder), str(tmp_path), CFG, ordered=True)
+    counted = {r.table_name: r.rows for r in out["row_counts"].collect()}
+    assert counted == {name: out[name].count() for name in counted} and counted["events_enriched"] == 6
+    key = [(r.client_id, r.session_start) for name in sorted(p for p in (tmp_path / "sessions").rglob("part-*.parquet")) for r in spark.read.parquet(str(name)).collect()]
+    assert len(key) == 4
+
+
+def test_many_files_of_one_date_are_in_order(spark, tmp_path):
+    rows_ = [(f"c{i * 7919 % 5000:05d}", "2025-03-01") for i in range(5000)]
+    frame = spark.createDataFrame(rows_, "client_id string, session_date string").withColumn("session_start", F.lit(1))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = write_table(frame, str(tmp_path), "sessions", ordered=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "sessions" / "session_date=2025-03-01").glob("part-*.parquet"))
+    clients = [r.client_id for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert len(files) > 1 and clients == sorted(clients) and path.endswith("sessions")
 
 
 def test_stored_chunks_can_be_numbered_again(spark, folder):
