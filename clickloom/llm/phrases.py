@@ -27,7 +27,8 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 CHUNK = 32  # tokens between cuts, on average
 FILTER_BITS = 26  # the Bloom filter has 2 ** 26 bits, 8 MB, at every size of the corpus
 PROBES = 3
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 1_000_000  # of text that is parsed at a time
+COUNT_BYTES = 8_000_000  # of chunks that are counted at a time
 HASH_BYTES = 1 << 15
 BUCKETS = 64
 BREAK = b"."
@@ -237,7 +238,7 @@ def _count(chunks: DataFrame, size: int, longest: int, known: Filter | None) ->
                 texts.append(text)
                 weights.append(times)
                 held += len(text)
-                if held > BATCH_BYTES:
+                if held > COUNT_BYTES:
                     yield from flush()
                     held = 0
         yield from flush()
