@@ -35,8 +35,9 @@ _MARKS = ".,!?;:#%&$*|"
 def encoder(path: str) -> Callable[[list[str]], Iterator[bytes]]:
     """Texts to their ids as little-endian unsigned 32-bit numbers, the same as encoding each text whole.
 
-    This tokenizer never merges across blanks, nor a run of letters with the marks behind it, so
-    words are encoded once and looked up afterwards. Words of other shapes are encoded as they stand.
+    This tokenizer never merges across blanks, nor a run of letters with the marks behind it as long as
+    its normal form still ends in a letter, so words are encoded once and looked up afterwards. Words of
+    other shapes are encoded as they stand.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
     from tokenizers import Tokenizer
@@ -45,12 +46,18 @@ def encoder(path: str) -> Callable[[list[str]], Iterator[bytes]]:
     model, normal, split = tokenizer.model, tokenizer.normalizer, tokenizer.pre_tokenizer
     words: dict[str, bytes] = {}
     parts: dict[str, bytes] = {}
+    open_ended: set[str] = set()  # runs of letters whose normal form ends in something else
 
     def packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def letters(run: str) -> bytes:
-        pieces = [run] if run.isascii() else [p for p, _ in split.pre_tokenize_str(normal.normalize_str(run))]
+        pieces = [run]
+        if not run.isascii():
+            form = normal.normalize_str(run)
+            if not form[-1:].isalpha():
+                open_ended.add(run)
+            pieces = [p for p, _ in split.pre_tokenize_str(form)]
         return packed([t.id for piece in pieces for t in model.tokenize(piece)])
 
     def learn(word: str) -> bytes:
@@ -60,6 +67,8 @@ def encoder(path: str) -> Callable[[list[str]], Iterator[bytes]]:
         marks, run = word[len(run) :], run.lower() if run.isascii() else run
         if run not in parts:
             parts[run] = letters(run)
+        if marks and run in open_ended:
+            return packed(tokenizer.encode(word, add_special_tokens=False).ids)
         if marks and marks not in parts:
             parts[marks] = packed(tokenizer.encode(marks, add_special_tokens=False).ids)
         return parts[run] + parts[marks] if marks else parts[run]
@@ -69,6 +78,7 @@ def encoder(path: str) -> Callable[[list[str]], Iterator[bytes]]:
             if len(words) > WORDS_KEPT or len(parts) > WORDS_KEPT:
                 words.clear()
                 parts.clear()
+                open_ended.clear()
             own = text.replace("\n", " ").split(" ")
             for word in set(own).difference(words):
                 words[word] = learn(word)

@@ -26,6 +26,16 @@ def test_encoder_is_the_tokenizer():
         assert ids == struct.pack(f"<{len(expected)}I", *expected), text
 
 
+def test_every_code_point_before_marks():
+    """Alone, at the end of a word and inside one, each with a mark behind it."""
+    whole, encode = Tokenizer.from_file(PATH), packing.encoder(PATH)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or c % 7 == 0 or chr(c).isalpha() and c > 0xF000 and c < 0x20000)]
+    for start in range(0, len(points), 4000):
+        texts = [t for c in points[start : start + 4000] for t in (f"{c}?", f"Ab{c}.,", f"{c}b! {c}")]
+        for text, ids, one in zip(texts, encode(texts), whole.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert ids == struct.pack(f"<{len(one.ids)}I", *one.ids), (text, hex(ord(text[0])))
+
+
 def test_cut():
     for length in [1, 2, 63, 64, 65, 700, 1023, 1024, 1025, 2047, 2048, 2049, 9999]:
         pieces = packing.cut(length, 2048, 32)
