@@ -137,6 +137,11 @@ class Entries:
         return Entries(self.before[which], self.word[which], self.count[which], self.times[which], self.doc[which], self.docs)
 
 
+def _digests(some: dict) -> np.ndarray:
+    """`_digest` of every key."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, some), np.uint64, len(some)) >> np.uint64(1)
+
+
 # ---- discounts
 
 
@@ -242,7 +247,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Token counts of the training rows of a task: `digest, n`."""
 
     def out(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([_digest(w) for w in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], ["digest", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(_digests(counts).view(np.int64)), pa.array(list(counts.values()), pa.int64())], ["digest", "n"])
 
     counts: Counter = Counter()
     for batch in batches:
@@ -257,6 +262,25 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(counts)
 
 
+class _Places(dict):
+    """Numbers of words in order of appearance, behind the start and the end."""
+
+    def __init__(self):
+        super().__init__({START: 0, END: 1})
+
+    def __missing__(self, word) -> int:
+        place = self[word] = len(self)
+        return place
+
+    def of(self, text: str) -> np.ndarray:
+        """A text's tokens from its start to its end."""
+        own = words(text)
+        out = np.empty(len(own) + 2, np.int64)
+        out[0], out[-1] = 0, 1
+        out[1:-1] = np.fromiter(map(self.__getitem__, own), np.int64, len(own))
+        return out
+
+
 def _entries(batches: Iterator[pa.RecordBatch], known: Known, rare: bool) -> Iterator[Entries]:
     """Entries of a task's documents whose words are rare, or else those whose words are not, a few million tokens at a time.
 
@@ -264,7 +288,7 @@ def _entries(batches: Iterator[pa.RecordBatch], known: Known, rare: bool) -> Ite
     """
 
     def flush() -> Entries:
-        digests = np.fromiter(map(_digest, table), np.uint64, len(table))
+        digests = _digests(table)
         codes, size = known.codes(digests), len(table)
         tokens = np.concatenate(texts)
         doc = np.repeat(np.arange(len(texts)), [t.size for t in texts])
@@ -281,17 +305,16 @@ def _entries(batches: Iterator[pa.RecordBatch], known: Known, rare: bool) -> Ite
         }
         return Entries(before, word, counts, times, doc, docs)
 
-    table, texts, rows, size = {START: 0, END: 1}, [], [], 0
+    table, texts, rows, size = _Places(), [], [], 0
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("key", "id", "held", "text"))
         for key, name, held, text in zip(*columns, strict=True):
-            own = [0, *(table.setdefault(w, len(table)) for w in words(text)), 1]
-            texts.append(np.array(own, np.int64))
+            texts.append(table.of(text))
             rows.append((key, name, held))
-            size += len(own)
+            size += texts[-1].size
             if size >= FLUSH:
                 yield flush()
-                table, texts, rows, size = {START: 0, END: 1}, [], [], 0
+                table, texts, rows, size = _Places(), [], [], 0
     if texts:
         yield flush()
 
