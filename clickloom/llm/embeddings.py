@@ -28,8 +28,10 @@ from clickloom.llm.components import components
 COSINE = 0.95
 TREES, LEAF, MARGIN = 6, 256, 0.12  # leaf: vectors aimed at; margin: of the spread of a projection
 SAMPLE = 8192  # vectors that thresholds are fitted on
+LENGTH_BITS = 44  # of a leaf's number that lie below the number of its length
 GROUP = 2048  # vectors compared in one group; larger leaves are cut into pairs of chunks
 FITTED, LEAST = 12, 16  # levels with a threshold for each node, and sampled vectors that such a threshold takes
+MOST = 1024  # trees that a forest may need before it is given up with an error
 RECALL, PROBES = 0.995, 2048  # share of probe pairs that must meet in some tree; pairs of each kind
 SEED = 7
 
@@ -47,7 +49,7 @@ class Forest:
             self._grow(sample)
         probes = [(a, b, np.zeros(len(a), bool)) for a, b in _probes(sample, cosine) if len(a)] if depth else []
         seen = 0
-        while True:
+        while self.trees <= MOST:
             for a, b, met in probes:
                 for tree in range(seen, self.trees):
                     met |= self._meet(tree, a, b)
@@ -55,6 +57,8 @@ class Forest:
                 break
             seen = self.trees
             self._grow(sample)
+        else:
+            raise RuntimeError(f"linked pairs of the sample still miss each other in {MOST} trees")
         del self.random
 
     def _grow(self, sample: np.ndarray) -> None:
@@ -184,35 +188,52 @@ def _compare(cosine: float):
     return compare
 
 
+def _forests(classes: DataFrame, counts: dict[int, int], sample: int, trees: int, cosine: float) -> dict[int, Forest]:
+    """A forest for each length of vectors, fitted on up to `sample` of them; few vectors of a length are one leaf."""
+    depths = {length: max(0, math.ceil(math.log2(n / LEAF))) for length, n in counts.items()}
+    drawn: dict[int, list] = {length: [] for length in counts}
+    shares = [F.lit(x) for length, n in counts.items() if depths[length] for x in (length, int(min(1.0, 0.95 * sample / n) * 1_000_000))]
+    if shares:
+        share = F.coalesce(F.try_element_at(F.create_map(*shares), F.size("embedding")), F.lit(0))
+        for row in classes.filter(F.pmod(F.xxhash64("embedding"), F.lit(1_000_000)) < share).select("embedding").toPandas()["embedding"]:
+            drawn[len(row)].append(row)
+    return {
+        length: Forest(_unit(drawn[length]) if drawn[length] else np.zeros((0, length)), depths[length], trees if depths[length] else 1, cosine=cosine)
+        for length in counts
+    }
+
+
 def near_duplicates(
     vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, trees: int = TREES, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
     """`id, n_links, component` for every row: other rows linked directly, and the least id reachable by links.
 
-    Vectors that are null, empty, zero, hold null or non-finite components or are not as long as most
-    link with nothing. Repeated rows and equal vectors link with each other; null ids count as links but
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and
+    vectors link with those of their own length only; each length has a forest. Repeated rows and equal vectors link with each other; null ids count as links but
     never name a component. An empty table gives no rows; other columns are ignored.
     """
     rows = vectors.select(F.col(id_column).alias("id"), F.col(vector_column).alias("embedding"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = rows.withColumn("fine", F.coalesce(F.size("embedding") > 0, F.lit(False)) & F.coalesce(fine, F.lit(False)))
-    most = rows.filter("fine").groupBy(F.size("embedding").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    width = most["width"] if most else 0
-    rows = rows.withColumn("fine", F.col("fine") & (F.size("embedding") == width))
-
     classes = rows.filter("fine").groupBy("embedding").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     classes = saved(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    count = classes.count()
-    share = min(1.0, 0.95 * sample / max(1, count))
-    drawn = classes.filter(F.pmod(F.xxhash64("embedding"), F.lit(1_000_000)) < int(share * 1_000_000)).select("embedding").toPandas()["embedding"]
-    forest = Forest(_unit(drawn.tolist()) if len(drawn) else np.zeros((0, width)), max(0, math.ceil(math.log2(max(1, count) / LEAF))), trees, cosine=cosine)
-    sent = vectors.sparkSession.sparkContext.broadcast(forest)  # a few thousand numbers for each tree
+    width = F.size("embedding")
+    counts = {row.width: row["count"] for row in classes.groupBy(width.alias("width")).count().collect()}  # a row for each length there is
+    forests = _forests(classes, counts, sample, trees, cosine)
+    sent = vectors.sparkSession.sparkContext.broadcast(forests)  # a few thousand numbers for each tree
 
     @F.pandas_udf("array<long>")
     def leaves(batch: pd.Series) -> pd.Series:
-        row, leaf = sent.value.leaves(_unit(batch.tolist()))
-        order = np.lexsort((leaf, row))
-        return pd.Series(np.split(leaf[order], np.cumsum(np.bincount(row, minlength=len(batch)))[:-1]))
+        out, lengths = np.empty(len(batch), object), batch.map(len).to_numpy()
+        for number, length in enumerate(sorted(sent.value)):
+            which = np.flatnonzero(lengths == length)
+            if which.size:
+                row, leaf = sent.value[length].leaves(_unit(batch.iloc[which].tolist()))
+                order = np.lexsort((leaf, row))
+                parts = np.split(leaf[order] + (number << LENGTH_BITS), np.cumsum(np.bincount(row, minlength=which.size))[:-1])
+                for at, part in zip(which, parts, strict=True):
+                    out[at] = part
+        return pd.Series(out)
 
     placed = saved(classes.select("c", "copies", "embedding", leaves("embedding").alias("leaves")), "placed")
     spread = placed.select("*", F.explode("leaves").alias("leaf"))

@@ -7,13 +7,12 @@ from clickloom.llm import embeddings
 
 
 def slow(rows):
-    width = 8
     fine = {}
     for n, (_, v) in enumerate(rows):
-        if v is not None and len(v) == width and all(x is not None and np.isfinite(x) for x in v) and any(v):
+        if v and all(x is not None and np.isfinite(x) for x in v) and any(v):
             a = np.array(v, float) / np.abs(np.array(v, float)).max()
             fine[n] = a / np.linalg.norm(a)
-    links = {n: {m for m in fine if m != n and n in fine and fine[n] @ fine[m] >= 0.95} for n in range(len(rows))}
+    links = {n: {m for m in fine if m != n and n in fine and len(fine[n]) == len(fine[m]) and fine[n] @ fine[m] >= 0.95} for n in range(len(rows))}
     out = []
     for n, (name, _) in enumerate(rows):
         seen, todo = {n}, [n]
@@ -42,6 +41,7 @@ def test_against_brute_force(spark, monkeypatch, group):
             rows.append((len(rows), [float(np.float32(x)) for x in centre + 0.1 * rng.standard_normal(8)]))
     rows += [(len(rows) + i, rows[0][1]) for i in range(40)] + [(None, rows[0][1]), rows[1], (5000, [-x for x in rows[0][1]])]
     rows += [(6000 + i, v) for i, v in enumerate([None, [], [0.0] * 8, [1.0] * 7 + [None], [1.0] * 7 + [float("nan")], [float("inf")] * 8, [1.0] * 5])]
+    rows += [(7000 + i, [1.0, float(i % 3), 0.1 * (i % 2), 0.0, 1.0]) for i in range(60)] + [(8000 + i, [float(i) - 3]) for i in range(7)]
     got = sorted(((r.id, r.n_links, r.component) for r in embeddings.near_duplicates(frame(spark, rows)).collect()), key=repr)
     expected = slow(rows)
     found, there = sum(r[1] for r in got), sum(r[1] for r in expected)
