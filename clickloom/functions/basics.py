@@ -44,8 +44,9 @@ def decimal_part(money: Column) -> Column:
 
 
 def other_part(money: Column) -> Column:
-    """What `decimal_part` leaves out: values beyond it, infinities, NaN."""
-    return F.when(decimal_part(money).isNull(), money)
+    """What `decimal_part` leaves out: values beyond it, infinities, NaN, and what lies below its last digit."""
+    whole = decimal_part(money)
+    return F.when(whole.isNull(), money).otherwise(money - whole.cast("double"))
 
 
 def whole_sum(decimals: Column, others: Column) -> Column:
@@ -56,7 +57,7 @@ def whole_sum(decimals: Column, others: Column) -> Column:
 def exact_sum(money: Column) -> Column:
     """Sum of a double column that does not depend on the order of its rows.
 
-    Decimals add exactly; only values that no decimal holds are added as doubles.
+    Decimals add exactly; only values that no decimal holds, and digits beyond the sixth, are added as doubles.
     """
     return whole_sum(F.sum(decimal_part(money)), F.sum(other_part(money)))
 

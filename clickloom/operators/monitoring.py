@@ -190,14 +190,15 @@ def baseline_days(history: DataFrame, cfg: Config) -> DataFrame:
     return history.orderBy("source_file").limit(cfg.monitor.baseline_days)
 
 
-def _as_rows(history: DataFrame, keys: list[str]) -> DataFrame:
+def metric_rows(history: DataFrame, keys: list[str]) -> DataFrame:
+    """`metric, value` with the keys: a row for each metric of each day."""
     wide = history.select(*keys, *[F.col(m).cast("double").alias(m) for m in METRICS])
     return wide.unpivot(keys, list(METRICS), "metric", "value")
 
 
 def baseline_stats(history: DataFrame, cfg: Config) -> DataFrame:
     """Mean, sample deviation, min and max of each metric; no rows for too short a history."""
-    chosen = _as_rows(baseline_days(history, cfg), ["source_file"])
+    chosen = metric_rows(baseline_days(history, cfg), ["source_file"])
     return (
         chosen.groupBy("metric")
         .agg(
@@ -218,7 +219,7 @@ def rolling_baseline(history: DataFrame, cfg: Config) -> DataFrame:
         Window.partitionBy("metric").orderBy("source_file").rowsBetween(-cfg.monitor.baseline_days, -1)
     )
     return (
-        _as_rows(history, ["source_file"])
+        metric_rows(history, ["source_file"])
         .withColumns(
             {
                 "mean": F.avg("value").over(before),
@@ -248,7 +249,7 @@ def metric_zscores(days: DataFrame, baseline: DataFrame, cfg: Config) -> DataFra
     )
     score = z_score(F.col("value"), F.col("mean"), F.col("std"))
     return (
-        _as_rows(days, ["source_file"])
+        metric_rows(days, ["source_file"])
         .filter("value is not null")
         .join(F.broadcast(baseline), "metric")
         .select(

@@ -87,6 +87,15 @@ def all_samples(events: DataFrame, cfg: Config) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def with_samples(results: DataFrame, found: DataFrame) -> DataFrame:
+    """Check results whose `details` also show the `samples` of that file and check; a handful each."""
+    value = F.array_join(F.sort_array(F.collect_list(F.struct("place", "value")))["value"], " | ")
+    shown = found.groupBy("source_file", "check_name").agg(F.create_map(F.lit("samples"), value).alias("shown"))
+    none = F.create_map().cast("map<string,string>")
+    details = F.map_concat("details", F.coalesce("shown", none))
+    return results.join(shown, ["source_file", "check_name"], "left").withColumn("details", details).select(results.columns)
+
+
 def invalid_event_names(events: DataFrame, cfg: Config) -> DataFrame:
     """Distinct names outside the allowed set, per file."""
     return (

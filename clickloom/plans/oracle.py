@@ -290,6 +290,26 @@ def _results() -> str:
 
 _RESULT_COLUMNS = """SELECT *, check_name || CASE WHEN passed THEN ' ok' ELSE ' failed' END || ' (' || affected_rows || ' rows)' AS message,
   round(CASE WHEN total_rows = 0 THEN 0.0 ELSE affected_rows / total_rows END, 6) AS failure_rate FROM results"""
+_DETAIL_SQL = {
+    "required_columns": {
+        "missing": "array_to_string(missing, ',')",
+        "extra": f"array_to_string(list_filter(list_transform(columns, lambda c: replace(lower(c), 'clientid', 'client_id')), lambda x: NOT list_contains({_EXPECTED}, x)), ',')",
+    },
+    "client_id_completeness": {"null_rate": "null_clients / total_rows", "threshold": str(_Q.max_null_client_rate)},
+    "timestamp_partition": {"expected_date": "file_date"},
+    "purchases": {c: c for c in ("zero_revenue", "negative_revenue", "missing_transaction_id", "null_item_prices", "unreadable_payloads")},
+    "volume": {"min": str(_Q.min_daily_events), "max": str(_Q.max_daily_events)},
+    "funnel": {"orphans": "orphans", "purchasers": "purchasers"},
+    "referrer": {"columns": "array_to_string(columns, ',')"},
+}
+_SAMPLED = {"timestamp_format": ("bad_time", "timestamp", 5), "timestamp_partition": ("wrong_date", "timestamp", 5),
+            "url_domain": ("bad_url", "page_url", 5), "event_data_json": ("bad_json", "left(event_data, 100)", 3)}
+_DETAILS = "detail AS (" + " UNION ALL ".join([
+    *[f"SELECT source_file, '{check}' AS check_name, '{key}' AS key, CAST({value} AS VARCHAR) AS value FROM profile"
+      for check, pairs in _DETAIL_SQL.items() for key, value in pairs.items()],
+    *[f"""SELECT source_file, '{check}', 'samples', string_agg({value}, ' | ' ORDER BY event_id) FROM (
+        SELECT * FROM flags WHERE {test} QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY event_id) <= {size}) GROUP BY source_file"""
+      for check, (test, value, size) in _SAMPLED.items()]]) + ")"
 _VERDICTS = """verdicts AS (
   SELECT source_file, bool_and(passed OR severity <> 'CRITICAL') AS passed,
     coalesce(string_agg(check_name, ',' ORDER BY check_number) FILTER (NOT passed AND severity = 'CRITICAL'), '') AS critical_issues,
@@ -507,6 +527,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   ELSE 'clientId,page_url' END || ',timestamp,event_name,event_data,user_agent' AS columns
   FROM (SELECT DISTINCT source_file, CAST(substr(source_file, 14, 2) AS INT) AS day FROM raw)"""),
         "dq_results": _with(_DQ_CHAIN, _RESULT_COLUMNS),
+        "dq_details": _with([*_DQ_CHAIN, _DETAILS], """SELECT source_file, check_name, key, round(TRY_CAST(value AS DOUBLE), 6) AS number,
+  CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS text FROM detail WHERE value IS NOT NULL"""),
         "dq_file_verdict": _with(_DQ_CHAIN, "SELECT * FROM verdicts"),
         "dq_batch_totals": _with(_DQ_CHAIN, """SELECT count(*) AS files, CAST(count(*) FILTER (WHERE passed) AS BIGINT) AS passed_files,
   CAST(count(*) FILTER (WHERE NOT passed) AS BIGINT) AS failed_files FROM verdicts"""),
@@ -558,6 +580,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
         "alert_counts": _with(_MON_CHAIN, "SELECT source_file, severity, count(*) AS alerts FROM found GROUP BY source_file, severity"),
         "critical_verdict": _with(_MON_CHAIN, """SELECT source_file, source_file IN
   (SELECT source_file FROM found WHERE severity = 'CRITICAL') AS critical FROM days"""),
+        "incremental_moments": _with(_MON_CHAIN, """SELECT metric, count(*) AS days, round(avg(value), 4) AS mean,
+  round(stddev_samp(value), 4) AS std FROM metrics GROUP BY metric"""),
         "counts_in_flight": _with([*_ATTR_CHAIN, _SUMMARY, _JOURNEYS], " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS observed, count(*) AS in_footers FROM {source}" for name, source in (
                 ("events_enriched", "enriched"), ("sessions", "sess"), ("conversions", "conv"), ("attribution", "attributed"),
@@ -600,7 +624,8 @@ SELECT page_id, query, nullif(url_decode(replace(regexp_extract(query, '(?:^|&)u
   FROM conv WHERE event_date IS NOT NULL GROUP BY event_date"""),
     }
     # Stored day by day or computed at once: the answers are the same.
-    sql |= {f"incremental_{new}": sql[old] for new, old in (("validation", "dq_results"), ("duplicates", "cross_file_duplicates"), ("alerts", "alerts"))}
+    sql |= {f"incremental_{new}": sql[old] for new, old in (("validation", "dq_results"), ("duplicates", "cross_file_duplicates"), ("alerts", "alerts"),
+                                                      ("rolling_baseline", "rolling_baseline"), ("null_rates", "null_rate_vs_history"))}
     for check in CHECKS:
         sql[f"dq_{check}"] = _with(_DQ_CHAIN, f"{_RESULT_COLUMNS} WHERE check_name = '{check}'")
     for name, alerts in ALERT_QUERIES.items():

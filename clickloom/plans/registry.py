@@ -349,6 +349,25 @@ def incremental_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_profiles(spark, folder).monitoring()["alerts"].drop("message"), "current_value", "threshold", digits=4)
 
 
+@query
+def incremental_moments(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean and deviation of each metric over all days, carried from run to run, replaced days taken out."""
+    totals = _profiles(spark, folder).totals().withColumnRenamed("n", "days")
+    return _rounded(totals, "mean", "std", digits=4)
+
+
+@query
+def incremental_rolling_baseline(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _profiles(spark, folder).monitoring()["rolling_baseline"]
+    return _rounded(rows, "value", "mean", "std", digits=4)
+
+
+@query
+def incremental_null_rates(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _profiles(spark, folder).validation()["null_rate_vs_history"]
+    return _rounded(rows, "null_client_rate", "past_average")
+
+
 # --- conversions, attribution, journeys -----------------------------------------------
 
 
@@ -472,6 +491,15 @@ def dq_results(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_results(spark, folder).drop("details"), "failure_rate")
 
 
+@query
+def dq_details(spark: SparkSession, folder: str) -> DataFrame:
+    """The details of every check as rows, samples of offending values among them; numbers apart from texts."""
+    results = qu.with_samples(_results(spark, folder), qu.all_samples(_raw(spark, folder), CFG))
+    rows = results.select("source_file", "check_name", F.explode("details").alias("key", "value"))
+    number = F.round(F.col("value").try_cast("double"), 6)
+    return rows.select("source_file", "check_name", "key", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text"))
+
+
 def _single_check(check: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = _results(spark, folder, (check,)).drop("details")

@@ -10,13 +10,14 @@ from clickloom.operators.cleaning import normalise_schema
 from clickloom.operators.conversions import transactions
 
 
-def validation_tables(profile: DataFrame, bought: DataFrame, cfg: Config) -> dict[str, DataFrame]:
-    """All that follows from one row per file and the extracted transactions; no event is read for it."""
+def validation_tables(profile: DataFrame, bought: DataFrame, samples: DataFrame, cfg: Config) -> dict[str, DataFrame]:
+    """All that follows from one row per file, the extracted transactions and the samples; no event is read for it."""
     results = q.dq_results(profile, cfg)
     verdicts = q.file_verdicts(results)
     daily = q.daily_metrics(profile)
     return {
-        "results": results,
+        "results": q.with_samples(results, samples),
+        "samples": samples,
         "verdicts": verdicts,
         "totals": q.batch_totals(verdicts),
         "daily_metrics": daily,
@@ -35,11 +36,10 @@ def run_validation(raw: DataFrame, headers: DataFrame, cfg: Config) -> dict[str,
     `passed_events` and `quarantined_events` are the events of files that passed and of the others.
     """
     events = normalise_schema(raw, cfg, fill_referrer=False)
-    tables = validation_tables(q.file_profile(events, headers, cfg), transactions(events, cfg), cfg)
+    tables = validation_tables(q.file_profile(events, headers, cfg), transactions(events, cfg), q.all_samples(events, cfg), cfg)
     passed, held = q.quarantine_split(events, tables["verdicts"])
     return tables | {
         "invalid_event_names": q.invalid_event_names(events, cfg),
-        "samples": q.all_samples(events, cfg),
         "passed_events": passed,
         "quarantined_events": held,
     }

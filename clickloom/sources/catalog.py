@@ -33,6 +33,14 @@ def _plain(uri: Column) -> Column:
     return _uniform(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))
 
 
+def as_data_files(listed: DataFrame) -> DataFrame:
+    """`path, source_file, length, modified` of the data files among `path, length, modificationTime`."""
+    path = _uniform(F.col("path"))
+    return listed.select(
+        path.alias("path"), F.regexp_extract(path, DAY, 1).alias("source_file"), "length", F.col("modificationTime").alias("modified")
+    ).filter("source_file <> ''")
+
+
 def data_files(spark: SparkSession, folder: str) -> DataFrame:
     """`path, source_file, length, modified` of every data file below the folder; reads no content.
 
@@ -40,11 +48,9 @@ def data_files(spark: SparkSession, folder: str) -> DataFrame:
     is empty is still a day. Such a file has length 0 and no time.
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    names = spark.createDataFrame([(name,) for name in listed.inputFiles()], "path string")
-    seen = listed.select(_uniform(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified"))
-    return names.select(_plain(F.col("path")).alias("path")).join(seen, "path", "left").select(
-        "path", F.regexp_extract("path", DAY, 1).alias("source_file"), F.coalesce("length", F.lit(0)).alias("length"), "modified"
-    ).filter("source_file <> ''")
+    names = spark.createDataFrame([(name,) for name in listed.inputFiles()], "path string").select(_plain(F.col("path")).alias("path"))
+    seen = listed.select(_uniform(F.col("path")).alias("path"), "length", "modificationTime")
+    return as_data_files(names.join(seen, "path", "left").withColumn("length", F.coalesce("length", F.lit(0))))
 
 
 def column_names(line: str) -> list[str]:

@@ -28,7 +28,7 @@ _CSV = {
     "columnPruning": "false",
 }
 _ORDER = T.StructType([T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("seq", T.LongType())])
-_TAGS = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("ingest_order", _ORDER)])
+TAGS = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("ingest_order", _ORDER)])
 
 
 def discover_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
@@ -74,7 +74,7 @@ def _scan(spark: SparkSession, names: tuple[str, ...], files: list[str], cfg: Co
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
     reader = spark.read.schema(schema).options(**_CSV, multiLine=cfg.multi_line, recursiveFileLookup="true")
     if not files:
-        return null_out_tokens(spark.createDataFrame([], T.StructType([*schema.fields, *_TAGS.fields])), cfg)
+        return null_out_tokens(spark.createDataFrame([], T.StructType([*schema.fields, *TAGS.fields])), cfg)
     rows = reader.csv(files)
     source = F.regexp_extract("_metadata.file_path", DAY, 1)
     tagged = rows.select(

@@ -11,24 +11,65 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from clickloom.config import Config
+from clickloom.config import EXPECTED_COLUMNS, Config
 from clickloom.functions.basics import count_if, flag, is_blank, micros
 from clickloom.functions.payload import with_payload
-from clickloom.operators.cleaning import event_time, null_out_tokens
+from clickloom.operators.cleaning import CORRUPT, event_time, null_out_tokens, sound_rows
+from clickloom.sources.catalog import as_data_files, read_catalog
+from clickloom.sources.daily_files import TAGS, read_cataloged
+
+_LANDED = T.StructType(
+    [T.StructField(c, T.StringType()) for c in EXPECTED_COLUMNS] + TAGS.fields + [T.StructField(CORRUPT, T.StringType())]
+)
 
 
 def read_arriving_files(spark: SparkSession, folder: str, cfg: Config, files_per_batch: int = 16) -> DataFrame:
-    """Text events of the current header from files as they arrive, with their time."""
+    """Text events of the current header from files as they arrive, with their time.
+
+    A file with another header stops the stream with an error; `land_files` takes files of any header.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cfg.expected_columns])
     rows = (
         spark.readStream.schema(schema)
-        .options(header="true", quote='"', escape='"', maxFilesPerTrigger=str(files_per_batch))
+        .options(header="true", enforceSchema="false", quote='"', escape='"', maxFilesPerTrigger=str(files_per_batch))
         .csv(folder)
     )
     tagged = rows.select("*", F.col("_metadata.file_name").alias("source_file"))
     return null_out_tokens(tagged, cfg).withColumn("event_timestamp", event_time(F.col("timestamp")))
 
 
+def land_files(
+    spark: SparkSession, folder: str, landed: str, cfg: Config, checkpoint: str, files_per_batch: int = 1000
+) -> DataStreamWriter:
+    """Arriving files, each read with its own header, as Parquet with the expected columns.
+
+    The stream is one of file names; each batch of them is catalogued and read like a folder of daily
+    files. A batch has a folder of its own and replaces it, so a repeated batch lands once.
+    """
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .options(recursiveFileLookup="true", maxFilesPerTrigger=str(files_per_batch))
+        .load(folder)
+        .select("path", "length", "modificationTime")
+    )
+
+    def land(batch: DataFrame, number: int) -> None:
+        own = batch.sparkSession
+        events = read_cataloged(own, read_catalog(own, folder, as_data_files(batch)), cfg)
+        if CORRUPT not in events.columns:
+            events = events.withColumn(CORRUPT, F.lit(None).cast("string"))
+        events.select([f.name for f in _LANDED.fields]).write.mode("overwrite").parquet(f"{landed}/batch={number}")
+
+    return names.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+
+
+def read_landed(spark: SparkSession, landed: str, files_per_batch: int = 16) -> DataFrame:
+    """What `land_files` wrote as a stream of text events with their time; rows that no header fits are left out."""
+    rows = spark.readStream.schema(_LANDED).option("maxFilesPerTrigger", str(files_per_batch)).parquet(f"{landed}/batch=*")
+    return sound_rows(rows).drop("ingest_order").withColumn("event_timestamp", event_time(F.col("timestamp")))
+
+
 def stream_sessions(events: DataFrame, cfg: Config, late: str = "1 hour") -> DataFrame:
     """Sessions of timed events, emitted once the watermark has passed them.
 

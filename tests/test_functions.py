@@ -221,6 +221,7 @@ def test_sums_keep_every_value(spark):
     assert total(None, None) == 0.0 and total(0.1, 0.2) == 0.3
     assert math.isnan(total(1e12, float("nan"))) and total(1.0, float("inf")) == float("inf")
     assert total(1e25, 1.0) == 1e25
+    assert abs(total(3e-7, 3e-7, 3e-7) - 9e-7) < 1e-15 and total(1e9, 4e-7) == 1e9 + 4e-7
 
 
 def test_own_domain_is_no_sql(spark):

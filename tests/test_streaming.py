@@ -1,7 +1,8 @@
 from __future__ import annotations
 
+import pytest
 from helpers import raw, rows
-from test_files import FULL, sale, write_day
+from test_files import BARE, FULL, RENAMED, sale, write_day
 
 from clickloom import Config
 from clickloom.operators import quality as q
@@ -66,3 +67,35 @@ def test_batch_checks_run_on_every_batch(spark, tmp_path):
     ).trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert seen == [("events_20250301.csv", 7)]
+
+
+def test_files_land_with_their_own_headers(spark, tmp_path):
+    files, landed = tmp_path / "in", str(tmp_path / "landed")
+    at = "2025-03-01T10:00:00.000Z"
+    write_day(files / "events_20250301.csv", FULL, lines())
+    write_day(files / "events_20250302.csv", BARE, [{"clientId": "c", "timestamp": at, "event_name": "page_viewed"}])
+    (files / "notes.txt").write_text("nothing")
+
+    def land():
+        st.land_files(spark, str(files), landed, CFG, str(tmp_path / "c1")).trigger(availableNow=True).start().awaitTermination(240)
+
+    land()
+    write_day(files / "events_20250303.csv", ["timestamp", "clientId"], [{"clientId": "d", "timestamp": at}])
+    land()
+    stored = spark.read.parquet(f"{landed}/batch=*")
+    assert rows(stored.filter("source_file > 'events_20250301.csv'"), "client_id", "timestamp", "event_name", "referrer") == [
+        ("c", at, "page_viewed", ""), ("d", at, None, "")]
+    assert stored.count() == 9
+
+    query = st.stream_daily_counters(st.read_landed(spark, landed), CFG).writeStream.format("memory").queryName("landed_days").outputMode(
+        "complete").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
+    query.awaitTermination(240)
+    assert rows(spark.table("landed_days"), "events") == [(9,)]
+
+
+def test_another_header_stops_a_plain_stream(spark, tmp_path):
+    write_day(tmp_path / "in" / "events_20250301.csv", RENAMED[::-1], [{"clientId": "a", "event_name": "x"}])
+    stream = st.read_arriving_files(spark, str(tmp_path / "in"), CFG)
+    query = stream.writeStream.format("memory").queryName("wrong_header").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="events_20250301.csv"):
+        query.awaitTermination(120)
