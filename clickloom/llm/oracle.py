@@ -24,15 +24,20 @@ _MATCHES = " UNION ALL ".join(
 ORACLES: dict[str, str] = {
     "op3_preferences": """
         WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
-        last AS (
-            SELECT conv_id, turn, text FROM t WHERE role = 'assistant' AND turn IS NOT NULL
-            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1
+        ans AS (
+            SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS j, count(*) OVER (PARTITION BY conv_id) AS n
+            FROM t WHERE role = 'assistant' AND turn IS NOT NULL
+        ),
+        pair AS (
+            SELECT l.conv_id, l.turn, l.text AS mine, a.turn AS leaves,
+                coalesce(lead(l.text) OVER (ORDER BY l.conv_id), first_value(l.text) OVER (ORDER BY l.conv_id)) AS other
+            FROM ans l JOIN ans a ON a.conv_id = l.conv_id AND a.j = ((l.conv_id % l.n) + l.n) % l.n WHERE l.j = l.n - 1
         ),
-        pair AS (SELECT a.conv_id, a.turn, a.text AS mine, b.text AS other FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
         side AS (
-            SELECT s.side, t.conv_id, t.turn, t.role, t.text FROM t JOIN pair USING (conv_id), (VALUES ('a'), ('b')) s(side) WHERE t.turn < pair.turn
+            SELECT 'a' AS side, t.conv_id, t.turn, t.role, t.text FROM t JOIN pair USING (conv_id) WHERE t.turn < pair.turn
+            UNION ALL SELECT 'b', t.conv_id, t.turn, t.role, t.text FROM t JOIN pair USING (conv_id) WHERE t.turn < pair.leaves
             UNION ALL SELECT 'a', conv_id, turn, 'assistant', mine FROM pair
-            UNION ALL SELECT 'b', conv_id, turn, 'assistant', other FROM pair
+            UNION ALL SELECT 'b', conv_id, leaves, 'assistant', other FROM pair
         ),
         num AS (
             SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS r,

@@ -6,10 +6,11 @@ rendered once; what follows is each side's completion, with the spans that count
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ASSISTANT = "assistant"
+BLOCK = 4096  # ids of one block, within which the next conversation is looked up
 
 
 def _turns(turns: DataFrame, key: str) -> DataFrame:
@@ -70,27 +71,43 @@ def _formatted(both: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _next_answers(answers: DataFrame) -> DataFrame:
+    """`conv_id, other`: the `text` of the next conversation by id; behind the last one comes the first.
+
+    Ids meet in blocks of at most `BLOCK`; only the first text of each block crosses them.
+    """
+    block = F.floor(F.col("conv_id") / BLOCK)
+    blocked = answers.select("conv_id", "text", block.alias("block"))
+    firsts = blocked.groupBy("block").agg(F.min_by("text", "conv_id").alias("first"))
+    in_order = Window.orderBy("block")  # one row a block
+    after = F.coalesce(F.lead("first").over(in_order), F.first("first").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    own = F.lead("text").over(Window.partitionBy("block").orderBy("conv_id"))
+    return blocked.withColumn("own", own).join(firsts.select("block", after.alias("after")), "block").select("conv_id", F.coalesce("own", "after").alias("other"))
+
+
 def _answered(turns: DataFrame) -> DataFrame:
-    """`conv_id, a, b`: a conversation up to its last answer, and the same with a neighbour's last answer in its place."""
+    """`conv_id, a, b`: a conversation up to its last answer, and up to one of its answers with another's in its place."""
     whole = _turns(turns.select("conv_id", "turn", "role", "text"), "conv_id")
-    last = F.try_element_at(F.filter("turns", lambda t: (t["role"] == ASSISTANT) & t["turn"].isNotNull()), F.lit(-1))
-    whole = whole.withColumn("last", last).filter(F.col("last").isNotNull())
-    other = whole.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("last.text").alias("other"))
-    before = F.filter("turns", lambda t: t["turn"] < F.col("last.turn"))
+    whole = whole.withColumn("answers", F.filter("turns", lambda t: (t["role"] == ASSISTANT) & t["turn"].isNotNull())).filter(F.size("answers") > 0)
+    chosen = F.pmod(F.col("conv_id"), F.size("answers")).cast("int") + 1
+    whole = whole.withColumns({"last": F.try_element_at("answers", F.lit(-1)), "left": F.try_element_at("answers", chosen)})
+    other = _next_answers(whole.select("conv_id", F.col("last.text").alias("text")))
 
-    def side(text: str):
-        return F.concat(before, F.array(F.struct(F.col("last.turn").alias("turn"), F.lit(ASSISTANT).alias("role"), F.col(text).alias("text"))))
+    def side(at: str, text: str):
+        before = F.filter("turns", lambda t: t["turn"] < F.col(f"{at}.turn"))
+        return F.concat(before, F.array(F.struct(F.col(f"{at}.turn").alias("turn"), F.lit(ASSISTANT).alias("role"), F.col(text).alias("text"))))
 
-    return whole.join(other, "conv_id").select("conv_id", side("last.text").alias("a"), side("other").alias("b"))
+    return whole.join(other, "conv_id").select("conv_id", side("last", "last.text").alias("a"), side("left", "other").alias("b"))
 
 
 def swapped_answers(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs from plain conversations `conv_id, turn, role, text`: the last answer is chosen over a neighbour's last answer.
+    """Pairs from plain conversations `conv_id, turn, role, text`: the own course is chosen over another's answer.
 
-    Neighbours are the conversations 2n and 2n + 1. Both sides hold a conversation up to its last
-    assistant turn; on the rejected side the neighbour's last assistant turn stands in its place.
-    Conversations without an answer, or whose neighbour has none, are not in the result; turns without
-    a number come before no answer and are none.
+    The chosen side is a conversation up to its last assistant turn. The rejected side leaves it at its
+    assistant turn number `conv_id` modulo their number, counted from 0: the last assistant turn of the
+    next conversation by id that has one stands there, and the side ends. Behind the last conversation
+    comes the first, and one alone stands against itself. Conversations without an answer are not in the
+    result; turns without a number come before no answer and are none.
     """
     both = _answered(turns)
     return both.select("conv_id", F.inline("a")), both.select("conv_id", F.inline("b"))

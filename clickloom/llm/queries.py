@@ -36,7 +36,7 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
-    """Every conversation's last answer against its neighbour's, with the shared turns as prompt."""
+    """Every answered conversation against one that leaves it for another's answer, with the shared turns as prompt."""
     return preferences.format_answers(table(spark, folder, "conversations"))
 
 

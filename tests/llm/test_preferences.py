@@ -28,10 +28,21 @@ def test_shared_prefix_and_masks(spark):
 def test_swapped_answers(spark):
     rows = [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (0, 2, "user", "tail"), (1, 0, "user", "c"), (1, 1, "assistant", "d"), (2, 0, "user", "alone"), (4, 0, "assistant", "e")]
     turns = frame(spark, rows).withColumnRenamed("pair", "conv_id")
-    found = {r.conv_id: r for r in preferences.format_pairs(*preferences.swapped_answers(turns), "conv_id").collect()}
-    assert set(found) == {0, 1}
+    found = {r.conv_id: r for r in preferences.format_answers(turns).collect()}
+    assert set(found) == {0, 1, 4}
     assert found[0].prompt == "<|user|>\na<|end|>\n" and "d" in found[0].rejected and "b" in found[0].chosen
-    assert preferences.format_pairs(*preferences.swapped_answers(turns.filter("false")), "conv_id").count() == 0
+    assert found[1].rejected == "<|assistant|>\ne<|end|>\n" and found[4].rejected == "<|assistant|>\nb<|end|>\n"
+    assert preferences.format_answers(turns.filter("false")).count() == 0
+
+
+def test_sides_part_at_any_answer(spark):
+    long = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}-{t}") for c in (3, 4, 5, 70_000) for t in range(8)]
+    found = {r.conv_id: r for r in preferences.format_answers(frame(spark, long).withColumnRenamed("pair", "conv_id")).collect()}
+    assert {c: r.n_shared for c, r in found.items()} == {3: 7, 4: 1, 5: 3, 70_000: 1}
+    assert found[4].rejected == "<|assistant|>\n5-7<|end|>\n" and found[5].rejected == "<|assistant|>\n70000-7<|end|>\n"
+    assert found[70_000].rejected == "<|assistant|>\n3-7<|end|>\n" and found[4].chosen.count("<|end|>") == 7
+    alone = preferences.format_answers(frame(spark, [r for r in long if r[0] == 3]).withColumnRenamed("pair", "conv_id")).first()
+    assert (alone.n_shared, alone.chosen, alone.rejected) == (8, "", "")
 
 
 def test_same_without_broadcast(spark):
