@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ASSISTANT = "assistant"
-BLOCK = 4096  # ids of one block, within which the next conversation is looked up
+BLOCK = 512  # ids of one block, within which the next conversation is looked up
 
 
 def _turns(turns: DataFrame, key: str) -> DataFrame:
