@@ -16,9 +16,9 @@ from clickloom.llm.queries import QUERIES
 DATA = "/root/testdata/sf0.001"
 
 
-def test_ten_queries_are_registered():
+def test_thirteen_queries_are_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(ORACLES) <= set(QUERIES) <= set(names)
 
 
