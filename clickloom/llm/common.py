@@ -32,3 +32,18 @@ def lower_ascii(text: Column) -> Column:
 def sendable(frame: DataFrame, rows: int) -> DataFrame:
     """The frame, marked for broadcast if it is counted to have at most so many rows."""
     return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
+def set_aside(frame: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """The frame with its columns of these names renamed to unused ones, and the columns that bring the old frame back."""
+    used = {c.lower() for c in frame.columns} | set(names)
+    kept, back = [], []
+    for column in frame.columns:
+        name = column
+        if column.lower() in names:
+            while name.lower() in used:
+                name += "_"
+            used.add(name.lower())
+        kept.append(F.col(f"`{column}`").alias(name))
+        back.append(F.col(f"`{name}`").alias(column))
+    return frame.select(*kept), back

@@ -1,31 +1,40 @@
 """Toxicity grades by cumulative-link ordinal regression over sparse text features.
 
 P(grade > k | text) = sigmoid(w . x - theta_k): one weight vector for all thresholds, and the
-expected severity is the sum of these probabilities. It is fitted as one logistic regression over
-the labelled rows repeated for each threshold, with an indicator of the threshold beside the shared
-features; the indicators' weights are -theta_k.
+expected severity is the sum of these probabilities. Weights and thresholds maximise the likelihood
+of the grades themselves, P(grade = k) = sigmoid(theta_k - w . x) - sigmoid(theta_(k-1) - w . x).
+Its logarithm is a sum of three terms,
+
+    log sigmoid(theta_k - w . x) + log sigmoid(w . x - theta_(k-1)) + log(1 - exp(theta_(k-1) - theta_k)),
+
+of which the last has no text in it and keeps the thresholds in order: it is minus infinity where
+two of them meet. The sum is concave, so the maximum is the only one. Every step adds up gradients
+in one Spark job over the labelled rows.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import saved
+from clickloom.llm.common import saved, set_aside
 
 GRADES = 3  # none, some, severe
 LABELLED = 20_000  # bound of the labelled sample
 DIMENSIONS = 1 << 18
 STEMS = (4, 5)
 LEAST_ROWS, LEAST_RATIO, MARKER = 5, 1.0, 3.0
+PENALTY, STEPS, MEMORY = 4e-4, 60, 10  # of the squared weights; most steps of the search, and steps it remembers
+TASKS = 16  # most tasks of a step, each sending one gradient to the driver
+FAR = 50.0  # a threshold beyond all labels
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -88,8 +97,9 @@ class Severity:
         """The rows with `_severity` (expected grade), `_grade` (thresholds more likely passed than not) and `_toxic` (P(grade > 0)).
 
         Every row is scored, repeated rows and null ids too; null and empty texts have no features and
-        get what the thresholds say. An empty table gives no rows.
+        get what the thresholds say. An empty table gives no rows. Columns of the three names are replaced.
         """
+        docs = docs.drop("_severity", "_grade", "_toxic")
         if self.weights is None:
             known = {"_severity": F.lit(self.constant), "_grade": F.lit(int(self.constant)), "_toxic": F.lit(float(self.constant > 0))}
             return docs.withColumns(known)
@@ -100,52 +110,142 @@ class Severity:
             weights = sent.value
             return texts.map(lambda t: float(weights[features(t)].sum(dtype=np.float64)))
 
-        rows = docs.withColumn("_odds", weighed(F.col(text_column)))
+        text = F.col(text_column)
+        docs, back = set_aside(docs, "_odds")
+        rows = docs.withColumn("_odds", weighed(text))
         passed = [1 / (1 + F.exp(F.lit(t) - F.col("_odds"))) for t in self.thresholds]
         return rows.select(
-            *docs.columns,
+            *back,
             sum(passed, F.lit(0.0)).alias("_severity"),
             sum(((p > 0.5).cast("int") for p in passed), F.lit(0)).alias("_grade"),
             passed[0].alias("_toxic"),
         )
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1 + np.tanh(x / 2))
+
+
+def batch_gradient(point: np.ndarray, values: np.ndarray, level: np.ndarray, sizes: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Negated log-likelihood of some rows, without the term of the thresholds alone, behind its gradient.
+
+    `point` is the weight of each feature, then the thresholds; the rows' features `f` lie one behind the other, `sizes` a row.
+    """
+    width, count = len(values), len(level)
+    row = np.repeat(np.arange(count), sizes)
+    odds = np.bincount(row, weights=(point[:width] * values)[f], minlength=count)
+    cuts = np.concatenate([[-np.inf], point[width:], [np.inf]])
+    above, below = cuts[level + 1] - odds, cuts[level] - odds
+    up, down = _sigmoid(-above), _sigmoid(below)
+    by_feature = np.bincount(f, weights=(up - down)[row], minlength=width) * values
+    levels = len(cuts) - 1
+    by_cut = np.bincount(level, weights=down, minlength=levels)[1:] - np.bincount(level, weights=up, minlength=levels)[:-1]
+    return np.concatenate([by_feature, by_cut, [(np.logaddexp(0, -above) + np.logaddexp(0, below)).sum()]])
+
+
+def minimum(value_and_slope: Callable[[np.ndarray], tuple[float, np.ndarray]], point: np.ndarray) -> np.ndarray:
+    """Minimum of a convex function by L-BFGS with halved steps; infinite values are stepped back from."""
+    value, slope = value_and_slope(point)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        step, kept = -slope, []
+        for moved, turned in reversed(moves):
+            share = moved @ step / (moved @ turned)
+            step = step - share * turned
+            kept.append(share)
+        if moves:
+            moved, turned = moves[-1]
+            step = step * (moved @ turned / (turned @ turned))
+        for (moved, turned), share in zip(moves, reversed(kept), strict=True):
+            step = step + (share - turned @ step / (moved @ turned)) * moved
+        expected, length = slope @ step, 1.0
+        while length > 1e-9:
+            there = point + length * step
+            value_there, slope_there = value_and_slope(there)
+            if value_there <= value + 1e-4 * length * expected:
+                break
+            length /= 2
+        else:
+            return point
+        if (slope_there - slope) @ (there - point) > 1e-14:
+            moves = [*moves, (there - point, slope_there - slope)][-MEMORY:]
+        gained = value - value_there
+        point, value, slope = there, value_there, slope_there
+        if gained <= 1e-7 * max(abs(value), 1e-3):
+            break
+    return point
+
+
+def fit_ordinal(rows: DataFrame, counts: list[int], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds of rows `_level` (0, 1, …, `counts` of them, none 0) and `_f` (indices into `values`)."""
+    rows, width, size = rows.coalesce(TASKS), len(values), sum(counts)
+    inner = np.array(counts[1:-1], float)
+
+    def value_and_slope(point: np.ndarray) -> tuple[float, np.ndarray]:
+        gaps = np.diff(point[width:])
+        if (gaps <= 0).any():
+            return np.inf, point
+
+        def gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(point) + 1)
+            for batch in batches:
+                lists = batch.column("_f")
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+                total += batch_gradient(point, values, batch.column("_level").to_numpy(), sizes, lists.flatten().to_numpy())
+            yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        sums = sum(np.frombuffer(r["sums"]) for r in rows.mapInArrow(gradient, "sums binary").collect())  # TASKS rows at most
+        slope, value = sums[:-1] / size, sums[-1] / size
+        value += PENALTY / 2 * (point[:width] @ point[:width]) - inner @ np.log(-np.expm1(-gaps)) / size
+        slope[:width] += PENALTY * point[:width]
+        pressed = inner / np.expm1(gaps) / size
+        slope[width:] += np.concatenate([pressed, [0.0]]) - np.concatenate([[0.0], pressed])
+        return value, slope
+
+    passed = 1 - np.cumsum(counts)[:-1] / size
+    found = minimum(value_and_slope, np.concatenate([np.zeros(width), np.log(1 - passed) - np.log(passed)]))
+    return found[:width], found[width:]
+
+
 def train(rows: DataFrame, ratios: np.ndarray, grades: int = GRADES) -> Severity:
-    """Fit on rows `_grade, _x`, each feature with its log ratio as value; grades outside 0 .. grades - 1 are ignored."""
-    rows = saved(rows.filter(F.col("_grade").between(0, grades - 1)).select("_grade", "_x"), "graded")
-    seen = sorted(r["_grade"] for r in rows.select("_grade").distinct().collect())
-    if len(seen) < 2:
-        return Severity(None, (), float(seen[0]) if seen else 0.0)
-    between = range(seen[0], seen[-1])  # thresholds with labels on both sides
+    """Fit on rows `_grade, _x`, each feature with its log ratio as value; grades outside 0 .. grades - 1 are ignored.
 
-    @F.udf(VectorUDT())
-    def vector(x: list[int], k: int) -> SparseVector:
-        own = [f for f in x if ratios[f]]
-        return SparseVector(DIMENSIONS + len(between), [*own, DIMENSIONS + k - between[0]], [*ratios[own], 1.0])
+    A grade that no label has passes with the next one that some have: its threshold is the same.
+    """
+    used = np.flatnonzero(ratios)
+    place = np.full(DIMENSIONS, -1, np.int32)
+    place[used] = np.arange(len(used))
 
-    repeated = rows.select("_grade", "_x", F.explode(F.array(*map(F.lit, between))).alias("_k"))
-    repeated = repeated.select(vector("_x", "_k").alias("_all"), (F.col("_grade") > F.col("_k")).cast("double").alias("_above"))
-    regression = LogisticRegression(
-        featuresCol="_all", labelCol="_above", fitIntercept=False, standardization=False, regParam=2e-4, maxIter=40
-    )
-    fitted = regression.fit(repeated).coefficients.toArray()
-    thresholds = tuple(float(-b) for b in fitted[DIMENSIONS:])
-    # A threshold below all labels is always passed, one above all labels never.
-    thresholds = (-50.0,) * seen[0] + thresholds + (50.0,) * (grades - 1 - seen[-1])
-    return Severity(fitted[:DIMENSIONS] * ratios, thresholds)
+    @F.pandas_udf("array<int>")
+    def placed(x: pd.Series) -> pd.Series:
+        return x.map(lambda f: (p := place[np.asarray(f, np.int64)])[p >= 0])
+
+    rows = rows.filter(F.col("_grade").between(0, grades - 1))
+    counts = {r["_grade"]: r["count"] for r in rows.groupBy("_grade").count().collect()}
+    seen = sorted(counts)
+    if len(seen) < 2:
+        return Severity(None, (), float(seen[0]) if seen else 0.0)
+    level = F.element_at(F.create_map(*(F.lit(n) for pair in zip(seen, range(len(seen)), strict=True) for n in pair)), F.col("_grade"))
+    graded = saved(rows.select(level.alias("_level"), placed("_x").alias("_f")), "graded")
+    weights, cuts = fit_ordinal(graded, [counts[g] for g in seen], ratios[used])
+    cuts = [-FAR, *map(float, cuts), FAR]
+    whole = np.zeros(DIMENSIONS)
+    whole[used] = weights * ratios[used]
+    return Severity(whole, tuple(cuts[sum(g <= k for g in seen)] for k in range(grades - 1)))
 
 
 def fit_labels(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, id_column: str = "doc_id", label_column: str = "toxic") -> Severity:
     """Fit on at most `labelled` documents with a 0/1 label; labels that are neither, or of null ids, are ignored.
 
-    Of repeated labels of an id the higher counts, of repeated documents each is a row.
+    Of repeated labels of an id the higher counts, of repeated documents each is a row. The sampled
+    labels go to every task, so texts stay where they are.
     """
     truth = labels.filter(F.col(label_column).isin(0, 1)).groupBy(F.col(id_column).alias("_id")).agg(F.max(label_column).cast("int").alias("_toxic"))
     truth = truth.filter("_id IS NOT NULL")
     share = min(1.0, 0.95 * labelled / max(1, truth.count()))
     truth = truth.filter(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
     texts = docs.select(F.col(id_column).alias("_doc"), F.col("text").alias("_text"))
-    rows = texts.join(truth, F.col("_doc") == F.col("_id")).select("_toxic", feature_column(F.col("_text")).alias("_x"))
+    rows = texts.join(F.broadcast(truth), F.col("_doc") == F.col("_id")).select("_toxic", feature_column(F.col("_text")).alias("_x"))
     rows = saved(rows, "labelled")
     ratios = log_ratios(rows)
     return train(severity_grades(rows, ratios), ratios)

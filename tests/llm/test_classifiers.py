@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import math
+import random
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from clickloom.llm import quality, toxicity
@@ -64,9 +69,70 @@ def test_text_features():
 
 
 def test_missing_threshold(spark):
-    import numpy as np
-
     rows = spark.createDataFrame([(0, [1, 2]), (0, [1]), (1, [3]), (1, [3, 4])], "_grade int, _x array<int>")
     model = toxicity.train(rows, np.ones(toxicity.DIMENSIONS), grades=4)
     assert model.thresholds[1:] == (50.0, 50.0) and model.thresholds[0] < 50
     assert rows.select(F.size("_x")).count() == 4
+
+
+def loss(rows, weights, cuts, values):
+    """The contract's likelihood as written: probabilities of grades as differences, row by row."""
+    total = toxicity.PENALTY / 2 * sum(w * w for w in weights)
+    for level, f in rows:
+        odds = sum(weights[i] * values[i] for i in f)
+        below = [0.0, *(1 / (1 + math.exp(odds - c)) for c in cuts), 1.0]
+        gap = below[level + 1] - below[level]
+        total -= (math.log(gap) if gap > 0 else -math.inf) / len(rows)
+    return total
+
+
+@pytest.mark.parametrize("levels", [2, 3, 4])
+def test_fit_is_the_maximum_of_the_likelihood(spark, levels):
+    draw = random.Random(levels)
+    values = np.array([1.0, 0.5, -2.0, 1.5, 3.0])
+    rows = []
+    for _ in range(300):
+        f = sorted(draw.sample(range(5), draw.randint(0, 4)))
+        rows.append((min(levels - 1, max(0, int(sum(values[i] for i in f) / 2 + draw.gauss(1, 1)))), f))
+    counts = [sum(r[0] == k for r in rows) for k in range(levels)]
+    weights, cuts = toxicity.fit_ordinal(spark.createDataFrame(rows, "_level int, _f array<int>").repartition(3), counts, values)
+    assert list(cuts) == sorted(set(cuts)) and len(cuts) == levels - 1
+    least, found = loss(rows, weights, cuts, values), np.concatenate([weights, cuts])
+    for i in range(len(found)):
+        for by in (-0.02, 0.02):
+            moved = found.copy()
+            moved[i] += by
+            assert loss(rows, moved[:5], moved[5:], values) > least
+    for _ in range(50):
+        moved = found + np.array([draw.gauss(0, 0.1) for _ in found])
+        assert loss(rows, moved[:5], moved[5:], values) > least
+
+
+def test_gradient_is_the_slope():
+    values, level, sizes, f = np.array([1.0, -2.0, 0.5]), np.array([0, 2, 1, 1]), np.array([2, 0, 1, 3]), np.array([0, 1, 2, 0, 1, 2])
+    point = np.array([0.3, -0.2, 1.1, -0.4, 0.9])
+    slope = toxicity.batch_gradient(point, values, level, sizes, f)[:-1]
+    for i in range(len(point)):
+        near = np.eye(len(point))[i] * 1e-6
+        up, down = (toxicity.batch_gradient(point + d, values, level, sizes, f)[-1] for d in (near, -near))
+        assert abs((up - down) / 2e-6 - slope[i]) < 1e-6
+
+
+def test_a_grade_without_labels_shares_the_next_threshold(spark):
+    rows = spark.createDataFrame([(0, [1, 2]), (0, [1]), (3, [3]), (3, [3, 4])], "_grade int, _x array<int>")
+    low, mid, high = toxicity.train(rows, np.ones(toxicity.DIMENSIONS), grades=4).thresholds
+    assert low == mid == high and abs(low) < 50
+
+
+def test_scores_as_the_formula_says(spark, make_docs, odd_docs):
+    weights = np.zeros(toxicity.DIMENSIONS, np.float32)
+    weights[toxicity.features("the quick")] = 0.25
+    model = toxicity.Severity(weights, (0.5, 1.5))
+    docs = make_docs(odd_docs).withColumns({"_odds": F.lit("mine"), "_Severity": F.lit("old")})
+    found = model.score(docs)
+    assert found.columns == [*docs.columns[:-1], "_severity", "_grade", "_toxic"]
+    for row in found.collect():
+        odds = float(weights[toxicity.features(row.text)].sum(dtype=np.float64))
+        passed = [1 / (1 + math.exp(t - odds)) for t in model.thresholds]
+        assert row._odds == "mine" and row._grade == sum(p > 0.5 for p in passed)
+        assert abs(row._severity - sum(passed)) < 1e-12 and abs(row._toxic - passed[0]) < 1e-12
