@@ -2,7 +2,8 @@
 
 Each view has its own logistic regression. In every round each model scores all unlabelled documents
 and hands every one that it is confident about to the other view's training set; only the labelled
-rows are sampled. Afterwards each view is
+rows are sampled. However many pseudo-labels there are, together they weigh a fixed share of what
+the labelled rows weigh, so labels keep their say in a table of any size. Afterwards each view is
 calibrated on labelled rows that neither saw, and the calibrated log-odds of the views are summed
 over the common prior. A view that knows nothing calibrates to the prior and so adds nothing.
 """
@@ -19,10 +20,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import saved
+from clickloom.llm.common import saved, set_aside
 
 LABELLED = 20_000  # bound of the labelled sample
-ROUNDS, CONFIDENT = 3, 0.98  # rounds, least confidence of a pseudo-label
+ROUNDS, CONFIDENT, GIVEN = 3, 0.98, 0.5  # rounds, least confidence of a pseudo-label, weight of all of them for 1 of all labels
 HASHED = 256
 KEEP = 0.5  # documents below are rejected
 _UPPER, _DIGITS, _MARKS = bytes(range(65, 91)), bytes(range(48, 58)), bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
@@ -35,7 +36,7 @@ def text_features(text: str | None) -> list[float]:
     data = (text or "").encode("utf-8", "surrogatepass")
     words = data.lower().split()
     if not words:
-        return [0.0] * 12
+        return [0.0] * 13
     size, count = len(data), len(words)
 
     def share(of: bytes) -> float:
@@ -48,28 +49,25 @@ def text_features(text: str | None) -> list[float]:
     return [
         1.0, share(_UPPER), share(_DIGITS), share(_ODD), share(_PLAIN), share(b"|"),
         distinct / count, distinct / math.sqrt(count) / 10, repeated, pairs,
-        (size - count) / count / 10, len(set(lines)) / len(lines),
+        (size - count) / count / 10, len(set(lines)) / len(lines), math.log2(size + 1) / 10,
     ]
 
 
 def views(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", source_column: str = "source") -> DataFrame:
-    """The rows with the vectors `_text` and `_page` of the two views; null metadata is a value of its own."""
+    """The rows with the vectors `_text` and `_page` of the two views; null metadata counts as empty.
+
+    The page view knows language, source and both together, and nothing about the text.
+    """
 
     @F.pandas_udf("array<double>")
     def text_view(texts: pd.Series) -> pd.Series:
         return texts.map(text_features)
 
-    length = F.floor(F.log2(F.coalesce(F.char_length(text_column), F.lit(0)) + 1) * 2).cast("int").cast("string")
-    page = docs.withColumns(
-        {
-            "_text": array_to_vector(text_view(F.col(text_column))),
-            "_lang": F.coalesce(F.col(lang_column), F.lit("")),
-            "_source": F.coalesce(F.col(source_column), F.lit("")),
-            "_length": length,
-        }
-    )
-    hasher = FeatureHasher(inputCols=["_lang", "_source", "_length"], outputCol="_page", numFeatures=HASHED)
-    return hasher.transform(page).drop("_lang", "_source", "_length")
+    lang, source = (F.coalesce(F.col(c), F.lit("")) for c in (lang_column, source_column))
+    parts = docs.withColumns({"_text": array_to_vector(text_view(F.col(text_column))), "_lang": lang, "_source": source})
+    parts = parts.withColumn("_both", F.concat_ws("\x1f", "_lang", "_source"))
+    hasher = FeatureHasher(inputCols=["_lang", "_source", "_both"], outputCol="_page", numFeatures=HASHED)
+    return hasher.transform(parts).drop("_lang", "_source", "_both")
 
 
 @dataclass(frozen=True)
@@ -101,7 +99,22 @@ def _scored(model: LogisticRegressionModel, rows: DataFrame, view: str) -> DataF
 
 
 def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
-    return LogisticRegression(featuresCol=view, labelCol="_label", regParam=1e-3, maxIter=50).fit(rows.select(view, "_label"))
+    """Fit on rows with `_label` and `_weight`."""
+    regression = LogisticRegression(featuresCol=view, labelCol="_label", weightCol="_weight", regParam=1e-3, maxIter=50)
+    return regression.fit(rows.select(view, "_label", "_weight"))
+
+
+def pseudo_labelled(seen: DataFrame, sure: DataFrame, view: str, given: float = GIVEN) -> DataFrame:
+    """Labelled rows of weight 1 and `sure` rows, each `_label` of which weighs `given` times its weight among the labelled rows.
+
+    So neither the size of the table nor a view that is surer of one label shifts the balance of the labels.
+    """
+    labels = (0.0, 1.0)
+    truth, found = ({r["_label"]: r["count"] for r in rows.groupBy("_label").count().collect()} for rows in (seen, sure))
+    weight = F.lit(0.0)
+    for label in labels:
+        weight = F.when(F.col("_label") == label, given * truth.get(label, 0) / max(1, found.get(label, 0))).otherwise(weight)
+    return seen.select("_label", view, F.lit(1.0).alias("_weight")).unionByName(sure.select("_label", view, weight.alias("_weight")))
 
 
 def _calibrate(model: LogisticRegressionModel, held: DataFrame, view: str) -> tuple[float, float]:
@@ -148,7 +161,7 @@ def train(
     held, seen = known.filter(fold == 0), known.filter(fold != 0)
     if held.select("_label").distinct().count() < 2 or seen.select("_label").distinct().count() < 2:
         held = seen = known
-    models = {view: _fit(seen, view) for view in ("_text", "_page")}
+    models = {view: _fit(seen.withColumn("_weight", F.lit(1.0)), view) for view in ("_text", "_page")}
     limit = math.log(CONFIDENT / (1 - CONFIDENT))
     for _ in range(rounds):
         # All that a view is sure of now is what the other learns from next.
@@ -157,7 +170,7 @@ def train(
             slope, shift = _calibrate(models[view], held, view)
             sure = _scored(models[view], others, view).withColumn("_odds", F.lit(slope) * F.col(f"{view}_odds") + F.lit(shift))
             sure = sure.filter(F.abs("_odds") >= limit).withColumn("_label", (F.col("_odds") > 0).cast("double"))
-            given[other] = seen.select("_label", other).unionByName(sure.select("_label", other))
+            given[other] = pseudo_labelled(seen, sure, other)
         models = {view: _fit(rows, view) for view, rows in given.items()}
     calibration = tuple(_calibrate(models[view], held, view) for view in ("_text", "_page"))
     return CoTrained(models["_text"], models["_page"], calibration, prior)
@@ -166,7 +179,8 @@ def train(
 def score(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of `docs` with `_good`, the probability that the document is good.
 
-    Every row is scored, repeated rows, null ids and null texts too; an empty table gives no rows.
+    Every row is scored, repeated rows, null ids and null texts too; an empty table gives no rows. A column `_good` is replaced.
     """
     model = train(docs, labels, **options)
-    return model.good(views(docs)).drop("_text", "_page")
+    rows, back = set_aside(docs.drop("_good"), "_text", "_page", "_lang", "_source", "_both", "_raw", "_text_odds", "_page_odds")
+    return model.good(views(rows)).select(*back, "_good")

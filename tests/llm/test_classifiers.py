@@ -64,8 +64,8 @@ def test_labels_of_one_class_or_none(spark, make_docs, odd_docs):
 
 
 def test_text_features():
-    assert quality.text_features(None) == quality.text_features(" \n") == [0.0] * 12
-    assert len(quality.text_features("a")) == 12 and toxicity.features(None) == []
+    assert quality.text_features(None) == quality.text_features(" \n") == [0.0] * 13
+    assert len(quality.text_features("a")) == 13 and toxicity.features(None) == []
 
 
 def test_missing_threshold(spark):
@@ -136,3 +136,35 @@ def test_scores_as_the_formula_says(spark, make_docs, odd_docs):
         passed = [1 / (1 + math.exp(t - odds)) for t in model.thresholds]
         assert row._odds == "mine" and row._grade == sum(p > 0.5 for p in passed)
         assert abs(row._severity - sum(passed)) < 1e-12 and abs(row._toxic - passed[0]) < 1e-12
+
+
+def test_pseudo_labels_weigh_the_same_in_a_table_of_any_size(spark):
+    seen = spark.createDataFrame([(1.0, 0)] * 6 + [(0.0, 1)] * 2, "_label double, x int")
+    for copies in (1, 50):
+        sure = spark.createDataFrame([(1.0, 2)] * 4 * copies + [(0.0, 3)] * copies, "_label double, x int")
+        rows = quality.pseudo_labelled(seen, sure, "x", given=0.5).groupBy("x").agg(F.sum("_weight").alias("w")).collect()
+        assert {r.x: round(r.w, 9) for r in rows} == {0: 6.0, 1: 2.0, 2: 3.0, 3: 1.0}
+    assert quality.pseudo_labelled(seen, sure.filter("x = 2"), "x").filter("_label = 0").agg(F.sum("_weight")).first()[0] == 2.0
+
+
+def test_views_share_nothing(spark, make_docs):
+    """The page view sees no text, the text view no page."""
+    docs = make_docs([(1, "a"), (2, "b " * 5000), (3, None)]).withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    other = docs.withColumns({"lang": F.lit(None).cast("string"), "source": F.lit("t")})
+    assert quality.views(docs).select("_page").distinct().count() == 1
+    assert quality.views(docs).unionByName(quality.views(other)).select("_text").distinct().count() == 3
+
+
+def test_good_as_the_formula_says(spark):
+    """Calibrated log-odds of both views, added over the prior, from weights worked out by hand."""
+    docs, labels = tables(spark)
+    docs = docs.limit(300).withColumns({"_raw": F.lit("mine"), "_Page": F.lit(1)})
+    model = quality.train(docs, labels, rounds=1)
+    found = quality.score(docs, labels, rounds=1)
+    assert found.columns == [*docs.columns, "_good"] and {(r._raw, r._Page) for r in found.collect()} == {("mine", 1)}
+    rows = model.good(quality.views(docs.drop("_raw", "_Page"))).select("_text", "_page", "_good").collect()
+    for row in rows:
+        odds = -math.log(model.prior / (1 - model.prior))
+        for fitted, x, (slope, shift) in zip((model.text, model.page), (row._text, row._page), model.calibration, strict=True):
+            odds += slope * (float(fitted.coefficients.dot(x)) + fitted.intercept) + shift
+        assert abs(row._good - 1 / (1 + math.exp(-odds))) < 1e-9
