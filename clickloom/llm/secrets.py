@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import saved, sendable
+from clickloom.llm.common import saved, sendable, set_aside
 from clickloom.session import shared_folder
 
 # Kind, pattern, the group that is measured, its least length.
@@ -108,16 +108,17 @@ def secret_spans(docs: DataFrame, ledger: str | None = None, id_column: str = "d
     """The rows of `docs` with a column `_spans`, the array of `start, rank, kind, end` found in the text.
 
     Without a ledger folder the run starts an empty one. Null and empty texts have no spans, rows
-    with equal texts (repeated rows, null ids) have equal spans, other columns pass through and an
-    empty table gives no rows.
+    with equal texts (repeated rows, null ids) have equal spans, other columns of any name pass
+    through, but for a column `_spans`, which is replaced, and an empty table gives no rows.
     """
     ledger = ledger or f"{shared_folder(docs.sparkSession)}/ledger-{uuid4().hex}"
     rows = docs.select(F.col(id_column).alias("id"), blob_of(F.col(text_column)).alias("blob"), F.coalesce(text_column, F.lit("")).alias("text"))
     spans = saved(spans_by_blob(update_ledger(rows, ledger)), "spans").select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
     none = F.array().cast(spans.schema["_spans"].dataType)
-    keyed = docs.withColumn("_key", blob_of(F.col(text_column)))  # a column, so that a join need not move texts nobody asks for
+    kept, back = set_aside(docs.drop("_spans"), "_key", "_blob")
+    keyed = kept.withColumn("_key", blob_of(F.col(text_column)))  # a column, so that a join need not move texts nobody asks for
     found = keyed.join(sendable(spans, BROADCAST_ROWS), F.col("_key") == F.col("_blob"), "left")
-    return found.select(*docs.columns, F.coalesce("_spans", none).alias("_spans"))
+    return found.select(*back, F.coalesce("_spans", none).alias("_spans"))
 
 
 def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:

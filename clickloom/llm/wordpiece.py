@@ -17,6 +17,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import set_aside
+
 WORDS_KEPT = 400_000  # bound of a worker's table of counted words; it is emptied when full
 
 
@@ -93,7 +95,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, text_column: st
     """The rows with `_n_words` and `_n_tokens`; words are runs between ASCII blanks, each counted with one blank before it.
 
     Null, empty and blank texts count 0; repeated rows and null ids count like any row and an empty table
-    gives no rows. `vocabulary` is a byte-level tokenizer file that all workers can read.
+    gives no rows. Columns of any name pass through, but for the two, which are replaced. `vocabulary` is a byte-level tokenizer file that all workers can read.
     """
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
 
@@ -101,5 +103,6 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, text_column: st
     def counted(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(list(map(_counter(path), texts)), columns=["words", "tokens"])
 
-    rows = docs.withColumn("_n", counted(F.col(text_column)))
-    return rows.select(*docs.columns, F.col("_n.words").alias("_n_words"), F.col("_n.tokens").alias("_n_tokens"))
+    kept, back = set_aside(docs.drop("_n_words", "_n_tokens"), "_n")
+    rows = kept.withColumn("_n", counted(F.col(text_column)))
+    return rows.select(*back, F.col("_n.words").alias("_n_words"), F.col("_n.tokens").alias("_n_tokens"))
