@@ -1,4 +1,7 @@
-"""A corpus from raw documents to packed training sequences, stage by stage."""
+"""A corpus from raw documents to packed training sequences, stage by stage.
+
+Columns of any other name, also of those that the stages use themselves, pass through all but the last.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import decontaminate, packing, quality, secrets, simhash
-from clickloom.llm.common import saved, table
+from clickloom.llm.common import saved, set_aside, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier finds good stay."""
-    scored = quality.score(docs, table(spark, sf_dir, "labels"))
-    return scored.filter(F.col("_good") >= quality.KEEP).select(*docs.columns)
+    rows, back = set_aside(docs, "_good")
+    scored = quality.score(rows, table(spark, sf_dir, "labels"))
+    return scored.filter(F.col("_good") >= quality.KEEP).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,11 +24,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows count one by one: rows that repeat an id may fall into different groups, and equal rows are a group.
     """
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")  # written, so that a row keeps its number
+    rows, back = set_aside(docs, "_row", "_key")
+    rows = saved(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")  # written, so that a row keeps its number
     key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")
     found = simhash.near_duplicates(rows.withColumn("_key", key), id_column="_key")
     firsts = found.filter(F.col("id._row") == F.col("component._row")).select("id._row")
-    return rows.join(firsts, "_row", "left_semi").select(*docs.columns)
+    return rows.join(firsts, "_row", "left_semi").select(*back)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +41,12 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; what is found in its text is masked and its length counted anew."""
-    masked = secrets.secret_spans(docs).withColumn("text", secrets.redact(F.col("text"), F.col("_spans")))
+    rows, back = set_aside(docs, "_spans")
+    masked = secrets.secret_spans(rows).withColumn("text", secrets.redact(F.col("text"), F.col("_spans")))
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         masked = masked.withColumn("n_chars", F.when(F.size("_spans") > 0, length).otherwise(F.col("n_chars")))
-    return masked.select(*docs.columns)
+    return masked.select(*back)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
