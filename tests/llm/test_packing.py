@@ -26,6 +26,28 @@ def test_encoder_is_the_tokenizer():
         assert ids == struct.pack(f"<{len(expected)}I", *expected), text
 
 
+def test_lowering_first_changes_nothing():
+    """Capitals whose small letter composes with a mark though they do not, special tokens in capitals, runs of Latin letters."""
+    whole = Tokenizer.from_file(PATH)
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts = [f"{chr(c)}{m}x {chr(c).lower()}{m}." for c in range(65, 91) for m in marks]
+    texts += ["<|ENDOFTEXT|> A", "<|endoftext|> A", "A<|StartOfText|>", "\u212a \u212b A\u0323\u0302"]
+    random.seed(4)
+    letters = [chr(c) for c in range(0x40, 0x1A0)] + list(".,'|")
+    texts += [" ".join("".join(random.choices(letters, k=random.randint(1, 9))) for _ in range(5)) for _ in range(2000)]
+    for text, ids, one in zip(texts, packing.encoder(PATH)(texts), whole.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids == struct.pack(f"<{len(one.ids)}I", *one.ids), text
+
+
+def test_a_worker_keeps_one_small_table():
+    """Words and the runs of letters they start with share one bounded table."""
+    words = packing._Words(PATH)
+    for word in (b"word.", b"word,", b"word", b"\xc3\x89t\xc3\xa9!"):
+        assert words[word] == words.whole(word)
+    assert set(words) == {b"word", b"word.", b"word,", b".", b",", b"!", b"\xc3\x89t\xc3\xa9", b"\xc3\x89t\xc3\xa9!"}
+    assert packing.WORDS_KEPT <= 300_000
+
+
 def test_every_code_point_before_marks():
     """Alone, at the end of a word and inside one, each with a mark behind it."""
     whole, encode = Tokenizer.from_file(PATH), packing.encoder(PATH)
