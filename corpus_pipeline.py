@@ -5,6 +5,9 @@ Columns of any other name, also of those that the stages use themselves, pass th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,22 @@ from clickloom.llm import decontaminate, packing, quality, secrets, simhash
 from clickloom.llm.common import saved, set_aside, table
 
 
+BATCH_BYTES = 4 << 20  # of rows that a task sends to its Python worker at a time
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """Stages share executors and Python workers, which keep what memory they once took, so none takes much."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@in_small_batches
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier finds good stay."""
     rows, back = set_aside(docs, "_good")
@@ -19,6 +38,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return scored.filter(F.col("_good") >= quality.KEEP).select(*back)
 
 
+@in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays, that with the least id; a row without an id stays only if no row of its group has one.
 
@@ -32,6 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(firsts, "_row", "left_semi").select(*back)
 
 
+@in_small_batches
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth or more of their words in benchmark windows go."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -39,6 +60,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return docs.join(found, decontaminate.text_key(docs["text"]) == found["_key"], "left_anti").select(*docs.columns)
 
 
+@in_small_batches
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; what is found in its text is masked and its length counted anew."""
     rows, back = set_aside(docs, "_spans")
@@ -49,6 +71,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return masked.select(*back)
 
 
+@in_small_batches
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in training sequences."""
     return packing.pack(docs).withColumnRenamed("id", "doc_id")

@@ -27,6 +27,24 @@ def test_same_rows_as_sql(spark, name):
     assert differences(entry.queries()[name](spark, DATA), connect(DATA), ORACLES[name]) == ""
 
 
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES])
+def test_stages_send_small_batches(spark, stage):
+    """Whatever the session's batch size, a stage is planned and run with small ones."""
+    import inspect
+
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    inner = inspect.unwrap(stage)
+    assert inner is not stage
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64m")
+    try:
+        limit = corpus_pipeline.in_small_batches(lambda session, docs, folder: seen.append(session.conf.get(key)) or docs)
+        docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+        assert limit(spark, docs, "") is docs and int(seen[0].removesuffix("b")) == corpus_pipeline.BATCH_BYTES <= 4 << 20
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_library_without_the_package():
     code = (
         "import sys; sys.modules['clickloom.llm'] = None; import __spark_entry__ as e; "
